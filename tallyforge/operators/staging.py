@@ -1,0 +1,29 @@
+"""Durable intermediate results."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the session's checkpoint folder; make one up only for a local session without any."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+    context.setCheckpointDir(folder)
+
+
+def stage(frame: DataFrame) -> DataFrame:
+    """Compute ``frame`` once into the checkpoint folder, so that it can be read repeatedly.
+
+    Meant for aggregates.  The result survives the loss of executors.
+    """
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint(eager=True)
