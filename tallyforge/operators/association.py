@@ -19,33 +19,35 @@ def cramers_v(
     With row totals r, column totals c and N cases, chi-square is N * sum_a(sum_b(n^2 / c) / r) - N,
     so the cells meet only one set of totals in a join and are then reduced by the other variable.
     Absent cells add nothing.  All of it is double: the product of two totals can exceed bigint.
+    A null category counts as cases but not as a category, and adds nothing to chi-square.
     """
+    # The joins are null-safe and every branch reads the same columns, so that Spark computes
+    # ``contingency`` once and reuses it.
+    b_totals = contingency.groupBy(b).agg(F.sum(weight).alias("_b_total"))
+    named_totals = b_totals.select(F.col(b).alias("_b"), "_b_total")
     n = F.col(weight).cast("double")
-    b_totals = contingency.groupBy(b).agg(F.sum(n).alias("_b_total"))
+    scaled = F.when(F.col(b).isNotNull(), F.try_divide(n * n, F.col("_b_total").cast("double")))
     a_rows = (
-        contingency.join(b_totals, b, "left")
+        contingency.join(named_totals, F.col(b).eqNullSafe(F.col("_b")))
         .groupBy(a)
-        .agg(
-            F.sum(weight).alias("_cases"),
-            F.sum(F.try_divide(n * n, F.col("_b_total"))).alias("_scaled"),
-        )
+        .agg(F.sum(weight).alias("_a_total"), F.sum(scaled).alias("_scaled"))
         .select(
-            F.lit("a").alias("_side"),
-            F.col("_cases"),
-            F.try_divide("_scaled", F.col("_cases").cast("double")).alias("_term"),
-            F.col(a).isNotNull().alias("_named"),
+            F.lit(None).cast("bigint").alias("_cases"),
+            F.col(a).isNotNull().alias("_is_a"),
+            F.lit(False).alias("_is_b"),
+            F.try_divide("_scaled", F.col("_a_total").cast("double")).alias("_term"),
         )
     )
     b_rows = b_totals.select(
-        F.lit("b").alias("_side"),
-        F.lit(None).cast("bigint").alias("_cases"),
+        F.col("_b_total").alias("_cases"),
+        F.lit(False).alias("_is_a"),
+        F.col(b).isNotNull().alias("_is_b"),
         F.lit(None).cast("double").alias("_term"),
-        F.col(b).isNotNull().alias("_named"),
     )
     parts = a_rows.unionByName(b_rows).agg(
         F.sum("_cases").alias("population"),
-        F.count_if((F.col("_side") == "a") & F.col("_named")).alias(a_count),
-        F.count_if((F.col("_side") == "b") & F.col("_named")).alias(b_count),
+        F.count_if("_is_a").alias(a_count),
+        F.count_if("_is_b").alias(b_count),
         F.sum("_term").alias("_terms"),
     )
     cases = F.col("population").cast("double")

@@ -114,6 +114,8 @@ def rank_selected_in_group(
         F.col(key).alias("_key"),
         F.pmod(F.hash(key), F.lit(splits)).alias("_split"),
     )
+    # Null-safe equality adds no null filter to either side, so a plan that both sides share is
+    # computed once.
     copies = selected.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     at_or_before = (F.col("_measure") > F.col(measure)) | (
         (F.col("_measure") == F.col(measure)) & (F.col("_key") <= F.col(key))
@@ -121,7 +123,7 @@ def rank_selected_in_group(
     matched = rivals.join(
         copies,
         F.col("_group").eqNullSafe(F.col(group))
-        & (F.col("_split") == F.col("_copy"))
+        & F.col("_split").eqNullSafe(F.col("_copy"))
         & at_or_before,
         "inner",
     )

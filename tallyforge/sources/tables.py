@@ -47,6 +47,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_small_scan(frame: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle an input with fewer splits than cores, before costly per-row work.
+
+    A single file, or one that cannot be split, would otherwise keep one core busy.  Inputs of any
+    size that matters have more splits than cores and are left alone.
+    """
+    if frame.rdd.getNumPartitions() >= frame.sparkSession.sparkContext.defaultParallelism:
+        return frame
+    return frame.repartition(*keys)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Delimited text with a header; all columns are text unless a schema is given."""
     reader = spark.read.option("header", True)

@@ -9,15 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.plans.silver import Silver, to_silver
+from tallyforge.plans.silver import Silver, to_silver, typed_attempts
+from tallyforge.sources.tables import spread_small_scan
+
+# Stating the schemas spares a job per table that would read file footers to infer them.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_attempts(spark: SparkSession, folder: str) -> DataFrame:
-    line = table(spark, folder, "lineitem")
+    line = spread_small_scan(table(spark, folder, "lineitem"), "l_orderkey")
     orders = table(spark, folder, "orders")
     customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation")
@@ -37,7 +60,10 @@ def raw_attempts(spark: SparkSession, folder: str) -> DataFrame:
             "merchant_id"
         ),
         F.concat(
-            F.date_format("l_shipdate", "yyyy-MM-dd"), F.format_string(" %02d:00:00", hour)
+            F.col("l_shipdate").cast("date").cast("string"),
+            F.lit(" "),
+            F.lpad(hour.cast("string"), 2, "0"),
+            F.lit(":00:00"),
         ).alias("purchase_date"),
         F.when(every(order, 499), F.lit(0.0))
         .when(every(order, 503), -F.col("l_extendedprice"))
@@ -77,11 +103,16 @@ def raw_merchants(spark: SparkSession, folder: str) -> DataFrame:
     aliased = supplier.filter(key % 25 == 3).select(
         merchant_id, F.concat(F.lit("Alias "), name).alias("merchant_name")
     )
-    orphan = spark.range(1).select(
+    orphan = spark.range(0, 1, 1, 1).select(
         F.lit(None).cast("string").alias("merchant_id"), F.lit("Orphan").alias("merchant_name")
     )
     return listed.unionByName(aliased).unionByName(orphan)
 
 
+def attempts(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed attempts, all that questions without merchant names need."""
+    return typed_attempts(raw_attempts(spark, folder))
+
+
 def silver(spark: SparkSession, folder: str) -> Silver:
     return to_silver(raw_attempts(spark, folder), raw_merchants(spark, folder), validate=False)

@@ -76,6 +76,8 @@ def _on_silver(make: Callable[[silver.Silver], DataFrame]) -> Query:
 
 
 def _on_summaries(make: Callable[[summaries.Summaries], DataFrame]) -> Query:
+    """Questions about named merchants, over Silver."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
         attempts = binding.silver(spark, folder).transactions
         return comparable(make(summaries.summaries_of(attempts)))
@@ -83,27 +85,48 @@ def _on_summaries(make: Callable[[summaries.Summaries], DataFrame]) -> Query:
     return run
 
 
-def _reconciliation(s: silver.Silver) -> DataFrame:
-    cities = summaries.summaries_of(s.transactions)("city_id")
+def _on_attempts(make: Callable[[summaries.Summaries], DataFrame]) -> Query:
+    """Questions that name no merchant; for them Silver is the typed attempts."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return comparable(make(summaries.summaries_of(binding.attempts(spark, folder))))
+
+    return run
+
+
+def _on_merchants(make: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: comparable(make(binding.raw_merchants(spark, folder)))
+
+
+def _authorization_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(views.by_authorization(binding.attempts(spark, folder)))
+
+
+def _reconcile_cities(attempts: DataFrame) -> DataFrame:
+    cities = summaries.summaries_of(attempts)("city_id")
     return reconcile(
-        s.transactions, cities, "purchase_amount", "all_attempt_count", "all_attempt_amount"
+        attempts, cities, "purchase_amount", "all_attempt_count", "all_attempt_amount"
     )
 
 
+def _reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_reconcile_cities(binding.attempts(spark, folder)))
+
+
 def _quality_metrics(s: silver.Silver) -> DataFrame:
     return quality.quality_metrics(s.transactions, s.merchant_conflicts)
 
 
 def _quality_summary(s: silver.Silver) -> DataFrame:
-    return quality.quality_summary(_quality_metrics(s), _reconciliation(s))
+    return quality.quality_summary(_quality_metrics(s), _reconcile_cities(s.transactions))
 
 
 def _contract_report(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.contract_report(silver.typed_attempts(binding.raw_attempts(spark, folder)))
+    return silver.contract_report(binding.attempts(spark, folder))
 
 
 def _grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(summaries.small_summary(binding.silver(spark, folder).transactions))
+    return comparable(summaries.small_summary(binding.attempts(spark, folder)))
 
 
 def _stored(make: Callable[[summaries.Summaries], DataFrame]) -> Query:
@@ -226,17 +249,16 @@ def _q1_cities(by: summaries.Summaries) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    by = _on_summaries
-    on = _on_silver
+    named, by, on = _on_summaries, _on_attempts, _on_silver
     return {
-        "q1_top_merchants": by(gold.q1_top_merchants),
+        "q1_top_merchants": named(gold.q1_top_merchants),
         "silver_enriched": on(lambda s: s.transactions),
-        "merchant_lookup": on(lambda s: s.merchant_lookup),
-        "merchant_conflicts": on(lambda s: s.merchant_conflicts),
+        "merchant_lookup": _on_merchants(silver.merchant_lookup),
+        "merchant_conflicts": _on_merchants(silver.merchant_conflicts),
         "contract_report": _contract_report,
-        "q2_merchant_state": by(gold.q2_merchant_state),
+        "q2_merchant_state": named(gold.q2_merchant_state),
         "q3_category_hours": by(gold.q3_category_hours),
-        "q4_popular_merchants": by(gold.q4_popular_merchants),
+        "q4_popular_merchants": named(gold.q4_popular_merchants),
         "q4_city_category": by(gold.q4_city_category),
         "q4_association": by(lambda b: gold.q4_association(gold.q4_city_category(b))),
         "q5_overview": by(gold.q5_overview),
@@ -249,20 +271,20 @@ def queries() -> dict[str, Query]:
         "quality_metrics": on(_quality_metrics),
         "quality_summary": on(_quality_summary),
         "warning_samples": on(lambda s: quality.warning_samples(s.transactions)),
-        "reconciliation": on(_reconciliation),
+        "reconciliation": _reconciliation,
         "measures_grouping_sets": _grouping_sets,
         "stored_q1_top_merchants": _stored(gold.q1_top_merchants),
         "stored_q5_overview": _stored(gold.q5_overview),
         "stored_q5_months": _stored(gold.q5_months),
-        "authorization_summary": on(lambda s: views.by_authorization(s.transactions)),
-        "q1_first_rows": by(lambda b: views.q1_first_rows(gold.q1_top_merchants(b))),
-        "q1_months": by(lambda b: views.q1_months(gold.q1_top_merchants(b))),
-        "q1_cities_of_month": by(_q1_cities),
-        "q1_city_month_slice": by(_q1_slice),
-        "q2_leaders": by(lambda b: views.q2_leaders(gold.q2_merchant_state(b))),
-        "q2_hundred_leaders": by(lambda b: views.q2_leaders(gold.q2_merchant_state(b), 100)),
+        "authorization_summary": _authorization_summary,
+        "q1_first_rows": named(lambda b: views.q1_first_rows(gold.q1_top_merchants(b))),
+        "q1_months": named(lambda b: views.q1_months(gold.q1_top_merchants(b))),
+        "q1_cities_of_month": named(_q1_cities),
+        "q1_city_month_slice": named(_q1_slice),
+        "q2_leaders": named(lambda b: views.q2_leaders(gold.q2_merchant_state(b))),
+        "q2_hundred_leaders": named(lambda b: views.q2_leaders(gold.q2_merchant_state(b), 100)),
         "q3_listing": by(lambda b: views.q3_listing(gold.q3_category_hours(b))),
-        "merchant_city_stack": by(
+        "merchant_city_stack": named(
             lambda b: views.merchant_city_stack(gold.q4_popular_merchants(b))
         ),
         "leading_cities": by(lambda b: views.leading(gold.q5_cities(b), 5)),
@@ -293,7 +315,9 @@ def queries() -> dict[str, Query]:
         "samples_of_check": on(
             lambda s: views.samples_of(quality.warning_samples(s.transactions), "Unknown state")
         ),
-        "conflict_listing": on(lambda s: views.conflict_listing(s.merchant_conflicts)),
+        "conflict_listing": _on_merchants(
+            lambda m: views.conflict_listing(silver.merchant_conflicts(m))
+        ),
         "load_metadata": _load_metadata,
         "source_manifest": _manifest,
         "events_top_users_by_type": _events_top_users,
