@@ -81,7 +81,8 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str) -> dict:
     staging = f"{silver_dir}/_staging-{uuid.uuid4().hex}"
     raw = tables.read_parquet(spark, sources[0])
     merchants = tables.read_parquet(spark, sources[1])
-    typed = silver.typed_attempts(raw)
+    spread = tables.spread_small_scan(raw, "purchase_date", "purchase_amount", "merchant_id")
+    typed = silver.typed_attempts(spread)
 
     def put(frame: DataFrame, name: str) -> DataFrame:
         path = f"{staging}/{name}"
