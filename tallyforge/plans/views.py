@@ -191,6 +191,16 @@ def interval_text(interval: DataFrame) -> DataFrame:
     )
 
 
+def association_text(association: DataFrame) -> DataFrame:
+    """Cramer's V with the population behind it, as text."""
+    return association.select(
+        F.format_string("%.4f", F.col("cramers_v")).alias("cramers_v"),
+        labels.count_label(F.col("population")).alias("attempts"),
+        labels.count_label(F.col("city_count")).alias("cities"),
+        labels.count_label(F.col("category_count")).alias("categories"),
+    )
+
+
 # Quality
 
 def metric_value(summary: DataFrame, check_name: str) -> DataFrame:
@@ -215,6 +225,11 @@ def conflict_listing(conflicts: DataFrame) -> DataFrame:
 
 # Exploration
 
+def peek(frame: DataFrame, columns: list[str], n: int = 10) -> DataFrame:
+    """Some n rows of the chosen columns, whichever come first."""
+    return frame.select(*columns).limit(n)
+
+
 def by_authorization(silver: DataFrame) -> DataFrame:
     return (
         silver.groupBy("authorized_flag")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyforge.plans.quality import CHECKS
+
 SILVER = """
 raw_merchants AS (
   SELECT 'M_' || s_suppkey AS merchant_id,
@@ -256,48 +258,10 @@ METRICS = f"""metrics AS (
   FROM silver
 )"""
 
-_LINES = [
-    ("Rows processed", "row_count", "Silver rows evaluated by the quality checks."),
-    ("Rows dropped", None, "Rows not conserved between Silver and reconciled Gold."),
-    (
-        "Missing merchant ID",
-        "missing_merchant_id",
-        "Transactions without a merchant identifier; name falls back to Unknown merchant.",
-    ),
-    (
-        "Unmatched merchant lookup",
-        "unmatched_merchant_lookup",
-        "Transactions without a matching merchant metadata row; merchant ID is used as the name.",
-    ),
-    (
-        "Merchant identity collisions",
-        "ambiguous_merchant_ids",
-        "Merchant IDs associated with more than one nonblank source name.",
-    ),
-    (
-        "Unknown category",
-        "unknown_category",
-        "Null or blank categories retained as Unknown category.",
-    ),
-    ("Unknown city", "unknown_city", "Null or -1 transaction city identifiers."),
-    ("Unknown state", "unknown_state", "Null or -1 transaction state identifiers."),
-    (
-        "Denied authorization",
-        "denied",
-        "Valid denied attempts retained for recorded-attempt analysis.",
-    ),
-    ("Unknown authorization", "unknown_authorization", "Authorization values outside Y and N."),
-    ("Nonpositive amount", "nonpositive_amount", "Purchase amounts less than or equal to zero."),
-    (
-        "Unknown installments",
-        "unknown_installments",
-        "Null, negative, or sentinel 999 installment values.",
-    ),
-]
-
-
-def _line(name: str, counter: str | None, text: str) -> str:
-    count = counter or "row_count - (SELECT CAST(sum(n) AS BIGINT) FROM by_city)"
+def _line(name: str, counter: str, text: str) -> str:
+    count = counter
+    if counter == "rows_dropped":
+        count = "row_count - (SELECT CAST(sum(n) AS BIGINT) FROM by_city)"
     population = "NULL" if counter == "ambiguous_merchant_ids" else "row_count"
     status = (
         "'Informational'"
@@ -312,7 +276,7 @@ def _line(name: str, counter: str | None, text: str) -> str:
 
 SUMMARY = f"""{CONFLICTS}, {METRICS},
 by_city AS (SELECT city_id, count(*) AS n FROM silver GROUP BY city_id),
-summary AS ({' UNION ALL '.join(_line(*line) for line in _LINES)})"""
+summary AS ({' UNION ALL '.join(_line(*line) for line in CHECKS)})"""
 
 _SAMPLED = [
     ("Missing merchant ID", "merchant_id IS NULL"),
@@ -390,6 +354,7 @@ def oracle_sql() -> dict[str, str]:
     q1 = q(Q1, f"SELECT {Q1_OUT} FROM q1")
     overview = q(OVERVIEW, OVERVIEW_OUT)
     months = q(MONTHS, "SELECT * FROM months")
+    popular = q(Q4, "SELECT * FROM q4")
     return {
         "q1_top_merchants": q1,
         "silver_enriched": q(
@@ -406,7 +371,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q2_merchant_state": q(Q2, "SELECT merchant, state_id, average_amount FROM q2"),
         "q3_category_hours": q(Q3, "SELECT * FROM q3"),
-        "q4_popular_merchants": q(Q4, "SELECT * FROM q4"),
+        "q4_popular_merchants": popular,
         "q4_city_category": q(
             """SELECT city_id, category, count(*) AS attempt_count
                FROM silver GROUP BY city_id, category"""
@@ -433,6 +398,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "measures_grouping_sets": _grouping_sets(),
         "stored_q1_top_merchants": q1,
+        "stored_q4_popular_merchants": popular,
         "stored_q5_overview": overview,
         "stored_q5_months": months,
         "authorization_summary": q(
@@ -469,6 +435,16 @@ def oracle_sql() -> dict[str, str]:
                ORDER BY average_amount DESC, merchant NULLS LAST, state_id NULLS LAST LIMIT 100""",
         ),
         "q3_listing": q(Q3, "SELECT * FROM q3 ORDER BY category, rank LIMIT 12"),
+        "q4_ordered": popular,
+        "association_text": q(
+            ASSOCIATION,
+            """SELECT format('{:.4f}', sqrt((SELECT x FROM chi) / (sum(n)
+                * least(count(DISTINCT city_id) - 1, count(DISTINCT category) - 1))))
+                AS cramers_v,
+              format('{:,}', CAST(sum(n) AS BIGINT)) AS attempts,
+              format('{:,}', count(DISTINCT city_id)) AS cities,
+              format('{:,}', count(DISTINCT category)) AS categories FROM cells""",
+        ),
         "merchant_city_stack": q(
             Q4,
             """SELECT merchant_name, CAST(city_id AS VARCHAR) AS city_label,
@@ -476,6 +452,8 @@ def oracle_sql() -> dict[str, str]:
                 AS attempts FROM q4 GROUP BY merchant_name, city_id""",
         ),
         "leading_cities": q(CITIES, "SELECT * FROM cities WHERE rank <= 5"),
+        "ten_leading_cities": q(CITIES, "SELECT * FROM cities WHERE rank <= 10"),
+        "ten_leading_categories": q(CATEGORIES, "SELECT * FROM categories WHERE rank <= 10"),
         "leading_categories": q(
             CATEGORIES,
             """SELECT * FROM categories WHERE category <> 'Unknown category'

@@ -274,6 +274,7 @@ def queries() -> dict[str, Query]:
         "reconciliation": _reconciliation,
         "measures_grouping_sets": _grouping_sets,
         "stored_q1_top_merchants": _stored(gold.q1_top_merchants),
+        "stored_q4_popular_merchants": _stored(gold.q4_popular_merchants),
         "stored_q5_overview": _stored(gold.q5_overview),
         "stored_q5_months": _stored(gold.q5_months),
         "authorization_summary": _authorization_summary,
@@ -284,10 +285,16 @@ def queries() -> dict[str, Query]:
         "q2_leaders": named(lambda b: views.q2_leaders(gold.q2_merchant_state(b))),
         "q2_hundred_leaders": named(lambda b: views.q2_leaders(gold.q2_merchant_state(b), 100)),
         "q3_listing": by(lambda b: views.q3_listing(gold.q3_category_hours(b))),
+        "q4_ordered": named(lambda b: views.q4_ordered(gold.q4_popular_merchants(b))),
+        "association_text": by(
+            lambda b: views.association_text(gold.q4_association(gold.q4_city_category(b)))
+        ),
         "merchant_city_stack": named(
             lambda b: views.merchant_city_stack(gold.q4_popular_merchants(b))
         ),
         "leading_cities": by(lambda b: views.leading(gold.q5_cities(b), 5)),
+        "ten_leading_cities": by(lambda b: views.leading(gold.q5_cities(b), 10)),
+        "ten_leading_categories": by(lambda b: views.leading(gold.q5_categories(b), 10)),
         "leading_categories": by(
             lambda b: views.leading_known_categories(gold.q5_categories(b))
         ),
