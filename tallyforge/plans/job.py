@@ -9,9 +9,11 @@ which must use UTC.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from decimal import Decimal
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,10 @@ SINGLE_FILE = (
     "q5_opening_hours",
     "q5_installments",
 )
+# Together these columns tell attempts apart well enough to spread a hot merchant or day.
+SPREAD_KEYS = ("purchase_date", "purchase_amount", "merchant_id")
+# Business tables are independent small jobs; a few at a time keep the cluster busy.
+CONCURRENT_WRITES = 4
 METRICS_SCHEMA = (
     "row_count long, missing_merchant_id long, unmatched_merchant_lookup long, "
     "unknown_category long, unknown_city long, unknown_state long, denied long, "
@@ -66,6 +72,8 @@ def run_bronze(
         ("merchants", tables.read_csv(spark, merchants)),
     ):
         described = tables.with_load_metadata(frame, "bronze", loaded_at, source_file=True)
+        if name == "historical_transactions":
+            described = tables.spread_small_scan(described, *SPREAD_KEYS)
         tables.write_parquet(described, f"{bronze_dir}/{name}")
     sources = {transactions_file: transactions, merchants_file: merchants}
     digests = provenance.manifest(spark, sources)
@@ -81,8 +89,7 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str) -> dict:
     staging = f"{silver_dir}/_staging-{uuid.uuid4().hex}"
     raw = tables.read_parquet(spark, sources[0])
     merchants = tables.read_parquet(spark, sources[1])
-    spread = tables.spread_small_scan(raw, "purchase_date", "purchase_amount", "merchant_id")
-    typed = silver.typed_attempts(spread)
+    typed = silver.typed_attempts(raw)
 
     def put(frame: DataFrame, name: str) -> DataFrame:
         path = f"{staging}/{name}"
@@ -156,10 +163,12 @@ def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> dict:
         by = summaries.stored_summaries(
             tables.read_parquet(spark, small_path), tables.read_parquet(spark, merchant_path)
         )
-        written = {
-            name: put(frame, name, name in SINGLE_FILE)
-            for name, frame in questions.gold_frames(by).items()
-        }
+        frames = questions.gold_frames(by)
+        write = inheritable_thread_target(spark)(
+            lambda name: put(frames[name], name, name in SINGLE_FILE)
+        )
+        with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+            written = dict(zip(frames, pool.map(write, frames)))
         reconciliation = reconcile(
             attempts,
             written["q5_cities"],

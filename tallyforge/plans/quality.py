@@ -153,15 +153,18 @@ def warning_samples(silver: DataFrame, k: int = 5) -> DataFrame:
     """
     names = {counter: name for name, counter, _ in CHECKS}
     conditions = _conditions()
+    # Checks are numbered while rows are sorted, and named when few are left.
     matched = F.array_compact(
-        F.array(*(F.when(conditions[c], F.lit(names[c])) for c in SAMPLED))
+        F.array(*(F.when(conditions[c], F.lit(i)) for i, c in enumerate(SAMPLED)))
     )
-    tagged = silver.select(F.explode(matched).alias("check_name"), *SAMPLE_COLUMNS)
+    tagged = silver.select(F.explode(matched).alias("_check"), *SAMPLE_COLUMNS)
     first = ["merchant_id", "purchase_date", "city_id", "state_id"]
     rest = [c for c in SAMPLE_COLUMNS if c not in first]
     order = [F.asc_nulls_last(c) for c in [*first, *rest]]
+    check_name = F.get(F.array(*(F.lit(names[c]) for c in SAMPLED)), F.col("_check"))
     return (
-        top_k_per_group(tagged, ["check_name"], order, k, rank="sample_rank")
+        top_k_per_group(tagged, ["_check"], order, k, rank="sample_rank")
+        .withColumn("check_name", check_name)
         .orderBy("check_name", "sample_rank")
         .select("check_name", "sample_rank", *SAMPLE_COLUMNS)
     )

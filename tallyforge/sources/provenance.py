@@ -28,23 +28,22 @@ def _hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(sha256=digests)
 
 
-def file_digests(
-    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """``path, bytes, sha256`` of every file below ``path``."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-    )
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every file below ``path``; contents are read only where they are used."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+
+
+def digests(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """``source, path, bytes, sha256`` of listed files that carry a ``source`` column."""
+    known = ["source", "path", F.col("length").alias("bytes")]
     small = files.filter(F.col("length") <= whole_file_bytes).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
+        *known, F.sha2("content", 256).alias("sha256")
     )
     large = (
         files.filter(F.col("length") > whole_file_bytes)
-        .select("path", F.col("length").alias("bytes"))
+        .select(*known)
         .repartition("path")
-        .mapInPandas(_hash_blocks, "path string, bytes long, sha256 string")
+        .mapInPandas(_hash_blocks, "source string, path string, bytes long, sha256 string")
     )
     return small.unionByName(large)
 
@@ -56,18 +55,14 @@ def manifest(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
     the eight 32-bit words are added modulo 2^32: the result does not depend on file order, and a
     source of any number of files needs only eight sums.
     """
-    digests = None
+    listed = None
     for name, path in sources.items():
-        listed = file_digests(spark, path).select(
-            F.lit(name).alias("source"),
-            F.regexp_extract("path", "([^/]+)$", 1).alias("file"),
-            "bytes",
-            "sha256",
-        )
-        digests = listed if digests is None else digests.unionByName(listed)
+        files = list_files(spark, path).withColumn("source", F.lit(name))
+        listed = files if listed is None else listed.unionByName(files)
+    hashed = digests(listed).withColumn("file", F.regexp_extract("path", "([^/]+)$", 1))
     entry = F.sha2(F.concat_ws(":", "file", "sha256"), 256)
     words = [F.conv(F.substring(entry, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)]
-    sums = digests.groupBy("source").agg(
+    sums = hashed.groupBy("source").agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("bytes").alias("bytes"),
         F.max("sha256").alias("_only"),

@@ -51,11 +51,13 @@ def spread_small_scan(frame: DataFrame, *keys: str) -> DataFrame:
     """Shuffle an input with fewer splits than cores, before costly per-row work.
 
     A single file, or one that cannot be split, would otherwise keep one core busy.  Inputs of any
-    size that matters have more splits than cores and are left alone.
+    size that matters have more splits than cores and are left alone.  Keys that ``frame`` lacks
+    are ignored; without any, rows are dealt out evenly.
     """
-    if frame.rdd.getNumPartitions() >= frame.sparkSession.sparkContext.defaultParallelism:
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
         return frame
-    return frame.repartition(*keys)
+    return frame.repartition(cores, *(k for k in keys if k in frame.columns))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

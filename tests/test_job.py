@@ -146,7 +146,8 @@ def test_digests_of_files_small_and_large(spark, tmp_path):
     for name, data in contents.items():
         (tmp_path / name).write_bytes(data)
     # files above the limit are hashed block by block; both ways give the plain SHA-256
-    got = rows(provenance.file_digests(spark, str(tmp_path), whole_file_bytes=2000))
+    files = provenance.list_files(spark, str(tmp_path)).withColumn("source", F.lit("x"))
+    got = rows(provenance.digests(files, whole_file_bytes=2000))
     assert {(r["path"].rsplit("/", 1)[1], r["bytes"], r["sha256"]) for r in got} == {
         (name, len(data), hashlib.sha256(data).hexdigest()) for name, data in contents.items()
     }
