@@ -39,13 +39,13 @@ def digests(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataF
     small = files.filter(F.col("length") <= whole_file_bytes).select(
         *known, F.sha2("content", 256).alias("sha256")
     )
-    large = (
-        files.filter(F.col("length") > whole_file_bytes)
-        .select(*known)
-        .repartition("path")
-        .mapInPandas(_hash_blocks, "source string, path string, bytes long, sha256 string")
+    large = files.filter(F.col("length") > whole_file_bytes).select(*known)
+    if large.isEmpty():  # reads no contents, and spares starting Python workers for nothing
+        return small
+    hashed = large.repartition("path").mapInPandas(
+        _hash_blocks, "source string, path string, bytes long, sha256 string"
     )
-    return small.unionByName(large)
+    return small.unionByName(hashed)
 
 
 def manifest(spark: SparkSession, sources: dict[str, str]) -> DataFrame:

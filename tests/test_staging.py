@@ -1,0 +1,43 @@
+"""Where intermediate results go."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from tallyforge.operators.staging import ensure_checkpoint_dir
+
+
+def session(master, configured=None, current=None):
+    used = []
+    context = SimpleNamespace(
+        master=master, getCheckpointDir=lambda: current, setCheckpointDir=used.append
+    )
+    conf = SimpleNamespace(
+        get=lambda key, default: configured if key == "spark.checkpoint.dir" else default
+    )
+    return SimpleNamespace(sparkContext=context, conf=conf), used
+
+
+def test_the_session_folder_is_used():
+    spark, used = session("spark://host:7077", configured="hdfs:///shared")
+    ensure_checkpoint_dir(spark)
+    assert used == ["hdfs:///shared"]
+
+
+def test_a_folder_already_set_is_kept():
+    spark, used = session("yarn", current="hdfs:///set")
+    ensure_checkpoint_dir(spark)
+    assert used == []
+
+
+def test_a_cluster_never_gets_a_local_folder():
+    spark, used = session("yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(spark)
+    assert used == []
+
+
+def test_a_local_session_makes_one_up():
+    spark, used = session("local[2]")
+    ensure_checkpoint_dir(spark)
+    assert len(used) == 1
