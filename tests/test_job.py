@@ -206,3 +206,47 @@ def test_small_scans_are_spread(spark, tmp_path):
     )
     many = spark.range(0, 100, 1, 32)
     assert tables.spread_small_scan(many, "id") is many
+
+
+def test_counters_seen_twice_are_recounted(spark, layers, monkeypatch):
+    """Should tasks repeated after a lost executor report twice, the written rows decide."""
+
+    class Twice(job.Observation):
+        @property
+        def get(self):
+            return {name: value * 2 for name, value in super().get.items()}
+
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+    want = job.run_silver(spark, layers["bronze"], layers["silver"])
+    monkeypatch.setattr(job, "Observation", Twice)
+    assert job.run_silver(spark, layers["bronze"], layers["silver"]) == want
+    assert want["row_count"] == 200
+
+
+def test_a_lookup_that_multiplies_rows_is_refused(spark, layers, monkeypatch):
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+    original = silver.merchant_lookup
+
+    def doubled(merchants):
+        lookup = original(merchants)
+        return lookup.unionByName(lookup)
+
+    monkeypatch.setattr(job.silver, "merchant_lookup", doubled)
+    with pytest.raises(ValueError, match="changed the row count from 200"):
+        job.run_silver(spark, layers["bronze"], layers["silver"])
+    assert not Path(layers["silver"], "transactions").exists()
+
+
+def test_command_line(spark, layers, monkeypatch):
+    from tallyforge import __main__ as command
+
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    for stage in ("bronze", "silver"):
+        arguments = ["tallyforge", stage]
+        for name, path in layers.items():
+            arguments += [f"--{name}-dir", path]
+        monkeypatch.setattr("sys.argv", arguments)
+        command.main()
+    assert spark.read.parquet(f"{layers['silver']}/transactions").count() == 200
