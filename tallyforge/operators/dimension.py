@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tallyforge.functions.values import blank
 from tallyforge.operators.staging import stage
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Every executor holds a copy; a shuffle of the fact costs far more than this.
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def _clean(frame: DataFrame, key: str, name: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.operators.dimension import BROADCAST_BYTES
 from tallyforge.operators.reconcile import reconcile, require_reconciled
 from tallyforge.plans import gold as questions
 from tallyforge.plans import quality, silver, summaries
@@ -80,7 +81,12 @@ def run_bronze(
     digests.coalesce(1).write.mode("overwrite").json(f"{bronze_dir}/provenance.json")
 
 
-def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str) -> dict:
+def run_silver(
+    spark: SparkSession,
+    bronze_dir: str,
+    silver_dir: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> dict:
     """Write validated, enriched attempts in one pass; returns the quality metrics."""
     _require_utc(spark)
     sources = [f"{bronze_dir}/historical_transactions", f"{bronze_dir}/merchants"]
@@ -100,7 +106,8 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str) -> dict:
         # The lookup is joined from its written form: measured exactly, and a plain scan.
         lookup = put(silver.merchant_lookup(merchants), "merchant_lookup")
         conflicts = put(silver.merchant_conflicts(merchants), "merchant_conflicts")
-        enriched = silver.enrich(typed, lookup.drop("silver_load_timestamp"))
+        names = lookup.drop("silver_load_timestamp")
+        enriched = silver.enrich(typed, names, broadcast_bytes)
 
         # Counters ride on the write, as its last step, where a task counts only once.
         observed = Observation("silver")

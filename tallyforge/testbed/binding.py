@@ -49,62 +49,39 @@ def raw_attempts(spark: SparkSession, folder: str) -> DataFrame:
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    order, part = F.col("l_orderkey"), F.col("l_partkey")
-
-    def every(key, n: int):
-        return key % n == 0
-
-    hour = (18 + order % 8 + part % 8) % 24
-    return joined.select(
-        F.when(~every(order, 97), F.concat(F.lit("M_"), F.col("l_suppkey").cast("string"))).alias(
-            "merchant_id"
-        ),
-        F.concat(
-            F.col("l_shipdate").cast("date").cast("string"),
-            F.lit(" "),
-            F.lpad(hour.cast("string"), 2, "0"),
-            F.lit(":00:00"),
-        ).alias("purchase_date"),
-        F.when(every(order, 499), F.lit(0.0))
-        .when(every(order, 503), -F.col("l_extendedprice"))
-        .otherwise(F.col("l_extendedprice"))
-        .alias("purchase_amount"),
-        F.when(every(order, 89), F.lit(-1).cast("bigint"))
-        .when(~every(order, 101), F.col("c_nationkey").cast("bigint"))
-        .alias("city_id"),
-        F.when(every(order, 83), F.lit(-1).cast("bigint"))
-        .when(~every(order, 103), F.col("n_regionkey").cast("bigint"))
-        .alias("state_id"),
-        F.when(every(part, 53), F.lit(" "))
-        .when(~every(part, 59), F.col("l_returnflag"))
-        .alias("category"),
-        F.when(every(order, 211), F.lit(999).cast("bigint"))
-        .when(every(order, 223), F.lit(-1).cast("bigint"))
-        .when(~every(order, 227), F.col("l_linenumber").cast("bigint") - 1)
-        .alias("installments"),
-        F.when(
-            ~every(order, 307),
-            F.when(
-                (F.col("l_linestatus") == "O") & (F.col("l_linenumber") <= 2), F.lit("N")
-            ).otherwise(F.lit("Y")),
-        ).alias("authorized_flag"),
+    return joined.selectExpr(
+        "CASE WHEN l_orderkey % 97 <> 0 THEN concat('M_', l_suppkey) END AS merchant_id",
+        """concat(cast(cast(l_shipdate AS date) AS string), ' ',
+            lpad(cast((18 + l_orderkey % 8 + l_partkey % 8) % 24 AS string), 2, '0'),
+            ':00:00') AS purchase_date""",
+        """CASE WHEN l_orderkey % 499 = 0 THEN 0D WHEN l_orderkey % 503 = 0 THEN -l_extendedprice
+            ELSE l_extendedprice END AS purchase_amount""",
+        """CASE WHEN l_orderkey % 89 = 0 THEN -1L
+            WHEN l_orderkey % 101 <> 0 THEN cast(c_nationkey AS bigint) END AS city_id""",
+        """CASE WHEN l_orderkey % 83 = 0 THEN -1L
+            WHEN l_orderkey % 103 <> 0 THEN cast(n_regionkey AS bigint) END AS state_id""",
+        """CASE WHEN l_partkey % 53 = 0 THEN ' '
+            WHEN l_partkey % 59 <> 0 THEN l_returnflag END AS category""",
+        """CASE WHEN l_orderkey % 211 = 0 THEN 999L WHEN l_orderkey % 223 = 0 THEN -1L
+            WHEN l_orderkey % 227 <> 0 THEN l_linenumber - 1L END AS installments""",
+        """CASE WHEN l_orderkey % 307 = 0 THEN NULL
+            WHEN l_linestatus = 'O' AND l_linenumber <= 2 THEN 'N' ELSE 'Y' END
+            AS authorized_flag""",
     )
 
 
 def raw_merchants(spark: SparkSession, folder: str) -> DataFrame:
     """Most suppliers, some with blank names, some with a second name, and one without an id."""
     supplier = table(spark, folder, "supplier")
-    key, name = F.col("s_suppkey"), F.col("s_name")
-    merchant_id = F.concat(F.lit("M_"), key.cast("string")).alias("merchant_id")
-    listed = supplier.filter(key % 20 != 7).select(
-        merchant_id,
-        F.when(key % 33 == 5, F.lit("  ")).otherwise(name).alias("merchant_name"),
+    listed = supplier.filter("s_suppkey % 20 <> 7").selectExpr(
+        "concat('M_', s_suppkey) AS merchant_id",
+        "CASE WHEN s_suppkey % 33 = 5 THEN '  ' ELSE s_name END AS merchant_name",
     )
-    aliased = supplier.filter(key % 25 == 3).select(
-        merchant_id, F.concat(F.lit("Alias "), name).alias("merchant_name")
+    aliased = supplier.filter("s_suppkey % 25 = 3").selectExpr(
+        "concat('M_', s_suppkey) AS merchant_id", "concat('Alias ', s_name) AS merchant_name"
     )
-    orphan = spark.range(0, 1, 1, 1).select(
-        F.lit(None).cast("string").alias("merchant_id"), F.lit("Orphan").alias("merchant_name")
+    orphan = spark.range(0, 1, 1, 1).selectExpr(
+        "cast(NULL AS string) AS merchant_id", "'Orphan' AS merchant_name"
     )
     return listed.unionByName(aliased).unionByName(orphan)
 

@@ -219,6 +219,8 @@ def test_counters_seen_twice_are_recounted(spark, layers, monkeypatch):
     write_raw(spark, layers["raw"], GOOD, MERCHANTS)
     job.run_bronze(spark, layers["raw"], layers["bronze"])
     want = job.run_silver(spark, layers["bronze"], layers["silver"])
+    merged = job.run_silver(spark, layers["bronze"], layers["silver"], broadcast_bytes=0)
+    assert merged == want
     monkeypatch.setattr(job, "Observation", Twice)
     assert job.run_silver(spark, layers["bronze"], layers["silver"]) == want
     assert want["row_count"] == 200
