@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+MANY_SPLITS = 32
+
+
 def _filesystem(spark: SparkSession, path: str):
     """Hadoop path and file system, so local folders and object stores work alike."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -50,12 +53,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def spread_small_scan(frame: DataFrame, *keys: str) -> DataFrame:
     """Shuffle an input with fewer splits than cores, before costly per-row work.
 
-    A single file, or one that cannot be split, would otherwise keep one core busy.  Inputs of any
-    size that matters have more splits than cores and are left alone.  Keys that ``frame`` lacks
-    are ignored; without any, rows are dealt out evenly.
+    A single file, or one that cannot be split, would otherwise keep one core busy.  Inputs with
+    many splits are left alone, as a shuffle of them would cost more than idle cores.  Keys that
+    ``frame`` lacks are ignored; without any, rows are dealt out evenly.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
+    if frame.rdd.getNumPartitions() >= min(cores, MANY_SPLITS):
         return frame
     return frame.repartition(cores, *(k for k in keys if k in frame.columns))
 
