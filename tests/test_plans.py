@@ -75,3 +75,21 @@ def test_unused_lookup_is_not_joined(spark):
     attempts = binding.silver(spark, FOLDER).transactions
     plan = final_plan(attempts.groupBy("category").agg(F.sum("purchase_amount")))
     assert "supplier" not in plan
+
+
+@pytest.fixture(scope="module")
+def rolled(spark, stored, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("summaries")
+    small, merchant = f"{folder}/small", f"{folder}/merchant"
+    summaries.small_summary(stored).write.partitionBy("grouping_set").parquet(small)
+    summaries.merchant_summary(stored).write.parquet(merchant)
+    return gold.gold_frames(
+        summaries.stored_summaries(spark.read.parquet(small), spark.read.parquet(merchant))
+    )
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_stored_summaries_are_read_once(rolled, name):
+    plan = final_plan(rolled[name])
+    assert scans(plan) == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
