@@ -94,6 +94,13 @@ def emit(df: DataFrame) -> DataFrame:
     return df.filter(F.col("copies") > 0).withColumn("_llm_copy", often).drop("copies", "_llm_copy")
 
 
+def mixed(documents: DataFrame) -> DataFrame:
+    """The documents of the mix, each as often as it is taken; columns as given."""
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_llm_doc")
+    sized = documents.select(row, "source", "doc_id", word_count(F.col("text")).alias("size"))
+    return emit(copies(sized, ["doc_id"])).select("_llm_doc.*")
+
+
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """The mix of all documents as words taken from each."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")

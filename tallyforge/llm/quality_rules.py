@@ -129,6 +129,14 @@ def with_verdict(scored: DataFrame, host: str = "source") -> DataFrame:
     return joined.withColumn("kept", ~F.col("base_failed") & ~against)
 
 
+def passing(documents: DataFrame) -> DataFrame:
+    """The documents with a favourable verdict; columns as given, whatever their names."""
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_llm_doc")
+    scored = with_failures(documents.select(row, "text", "source")).drop("text")
+    judged = with_verdict(stage(scored, "scored"))
+    return judged.filter("kept").select("_llm_doc.*")
+
+
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Counts, base rules and verdict of every document."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -6,21 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, sharding
+from . import (
+    decontamination,
+    mixing,
+    near_duplicates,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": decontamination.op1_decontamination,
+        "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
         "op3_mixing": mixing.op3_mixing,
         "op5_sharding": sharding.op5_sharding,
+        "op6_minhash": near_duplicates.op6_minhash,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_decontamination": decontamination.SQL,
         "op3_mixing": mixing.SQL,
         "op5_sharding": sharding.SQL,
         "op10_quality_rules": quality_rules.SQL,
