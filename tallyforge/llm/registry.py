@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontamination,
+    line_dedup,
     mixing,
     near_duplicates,
     quality_rules,
     sharding,
     suffix_dedup,
+    weak_labels,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +25,10 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
         "op3_mixing": mixing.op3_mixing,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_sharding": sharding.op5_sharding,
         "op6_minhash": near_duplicates.op6_minhash,
+        "op9_quality_classifier": weak_labels.op9_quality_classifier,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
@@ -33,6 +37,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": decontamination.SQL,
         "op3_mixing": mixing.SQL,
+        "op4_line_dedup": line_dedup.SQL,
         "op5_sharding": sharding.SQL,
         "op10_quality_rules": quality_rules.SQL,
     }
