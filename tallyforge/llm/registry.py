@@ -11,9 +11,11 @@ from . import (
     line_dedup,
     mixing,
     near_duplicates,
+    pitman_yor,
     quality_rules,
     sharding,
     suffix_dedup,
+    tool_calls,
     weak_labels,
 )
 
@@ -28,6 +30,8 @@ def queries() -> dict[str, Query]:
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_sharding": sharding.op5_sharding,
         "op6_minhash": near_duplicates.op6_minhash,
+        "op7_tool_calls": tool_calls.op7_tool_calls,
+        "op8_pitman_yor": pitman_yor.op8_pitman_yor,
         "op9_quality_classifier": weak_labels.op9_quality_classifier,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
@@ -39,5 +43,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": mixing.SQL,
         "op4_line_dedup": line_dedup.SQL,
         "op5_sharding": sharding.SQL,
+        "op7_tool_calls": tool_calls.SQL,
         "op10_quality_rules": quality_rules.SQL,
     }
