@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.values import blank
-from tallyforge.operators.staging import stage
 
 # Every executor holds a copy; a shuffle of the fact costs far more than this.
 BROADCAST_BYTES = 256 * 1024 * 1024
@@ -37,16 +36,26 @@ def canonical_names(frame: DataFrame, key: str, name: str, missing_key: str) ->
     )
 
 
-def name_conflicts(frame: DataFrame, key: str, name: str) -> DataFrame:
-    """Keys with more than one distinct non-blank name, and those names in order."""
-    distinct = _clean(frame, key, name).filter(F.col("_name").isNotNull()).distinct()
-    return (
-        distinct.groupBy(key)
-        .agg(
-            F.sort_array(F.collect_list("_name")).alias("nonblank_names"),
-            F.count("_name").cast("int").alias("distinct_name_count"),
-        )
-        .filter(F.col("distinct_name_count") > 1)
+def conflicting_names(frame: DataFrame, key: str, name: str) -> DataFrame:
+    """One row for each distinct non-blank name of a key that has several: key and ``nonblank_name``.
+
+    Two values per key tell which keys those are; the names of all others are dropped before any
+    names are told apart.
+    """
+    cleaned = _clean(frame, key, name).filter(F.col("_name").isNotNull())
+    spread = cleaned.groupBy(F.col(key).alias("_key")).agg(
+        F.min("_name").alias("_low"), F.max("_name").alias("_high")
+    )
+    several = spread.filter(F.col("_low") != F.col("_high")).select("_key")
+    kept = cleaned.join(several, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    return kept.distinct().withColumnRenamed("_name", "nonblank_name")
+
+
+def name_conflicts(names: DataFrame, key: str) -> DataFrame:
+    """``conflicting_names`` as one row per key, with the names in order: a view for reading."""
+    return names.groupBy(key).agg(
+        F.sort_array(F.collect_list("nonblank_name")).alias("nonblank_names"),
+        F.count("nonblank_name").alias("distinct_name_count"),
     )
 
 
@@ -59,15 +68,11 @@ def text_bytes(frame: DataFrame) -> int:
     return frame.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")).first()[0]
 
 
-def attach(
-    fact: DataFrame, lookup: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def attach(fact: DataFrame, lookup: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
     """Left join of a large fact to a lookup that has one row per key; null keys stay unmatched.
 
-    The lookup is broadcast only if its measured size allows.  Beyond that it is staged, so that
-    both sides of the sort-merge join are plain shuffles and adaptive execution can split the
-    partition of a key (or of the null key) that holds a large part of the fact.
+    ``broadcast`` is for callers that have measured the lookup (``text_bytes``).  Otherwise Spark
+    decides by its own threshold, and where it merges, both sides are plain shuffles, which is
+    what adaptive execution needs to split the partition of a key that holds much of the fact.
     """
-    if text_bytes(lookup) <= broadcast_bytes:
-        return fact.join(F.broadcast(lookup), key, "left")
-    return fact.join(stage(lookup).hint("merge"), key, "left")
+    return fact.join(F.broadcast(lookup) if broadcast else lookup, key, "left")

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.values import ratio
-from tallyforge.operators.staging import stage
 
 
 def top_k_per_group(
@@ -33,55 +32,61 @@ def top_k(frame: DataFrame, order: Sequence[Column], k: int, rank: str = "rank")
     return leaders.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
 
 
-def rank_all(
-    frame: DataFrame,
-    order: Sequence[Column],
-    rank: str = "rank",
-    totals: Sequence[str] = (),
+def _bucket(measure: str) -> Column:
+    """A whole number that never falls as the measure rises: about a dozen per doubling.
+
+    The exponents of a double allow some 17,000 at most, whatever the number of rows.
+    """
+    value = F.col(measure).cast("double")
+    size = F.floor(F.log1p(F.abs(value)) * 12)
+    return F.when(value < 0, -size).otherwise(size)
+
+
+def rank_by_measure(
+    frame: DataFrame, measure: str, ties: Sequence[Column], rank: str = "rank", total: str | None = None
 ) -> DataFrame:
-    """Rank every row of ``frame`` without bringing the rows together in one task.
+    """Rank every row by ``measure`` descending, nulls last, then by ``ties``.
 
-    A range-partitioned sort numbers the rows inside each partition; adding the sizes of the
-    earlier partitions gives the global rank.  The sorted rows are staged once, so both reads see
-    the same partitions.  ``totals`` names columns whose whole-frame sums are added as
-    ``<name>_total``; they come from the same per-partition sizes.
+    Rows are numbered inside buckets of similar measures, and the sizes of the buckets with larger
+    measures are added, so that the rows never meet in one task and nothing runs before the result is
+    asked for.  The bucket sizes are a small table by construction, which is broadcast.  ``frame`` is read
+    twice; an aggregate is computed once, as Spark reuses its shuffle.  ``total`` names a column for
+    the sum of the measure over all rows.
     """
-    row_bits = 33  # monotonically_increasing_id: partition above, row number in the low 33 bits
-    ordered = stage(frame.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
-    rows = ordered.withColumns(
-        {
-            "_part": F.shiftright("_id", row_bits),
-            "_row": F.col("_id").bitwiseAND(F.lit((1 << row_bits) - 1)),
-        }
-    )
-    sizes = rows.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_size"), *(F.sum(c).alias(f"{c}_total") for c in totals)
+    marked = frame.withColumn("_bucket", _bucket(measure))
+    # A zero that depends on every column: both uses of the frame read the same columns, so that
+    # they are the same plan to Spark.
+    nothing = F.sum(F.pmod(F.xxhash64(*frame.columns), F.lit(1)))
+    sizes = marked.groupBy("_bucket").agg(
+        (F.count(F.lit(1)) + nothing).alias("_size"), F.sum(measure).alias("_sum")
     )
-    # One row per sorted partition, so this window and the broadcast stay as small as the
-    # number of shuffle partitions.
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = sizes.select(
-        "_part",
+        F.col("_bucket").alias("_of"),
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
-        *(F.sum(f"{c}_total").over(everything).alias(f"{c}_total") for c in totals),
-    )
-    return (
-        rows.join(F.broadcast(offsets), "_part")
-        .withColumn(rank, (F.col("_offset") + F.col("_row") + 1).cast("int"))
-        .drop("_id", "_part", "_row", "_offset")
+        F.sum("_sum").over(everything).alias("_total"),
     )
+    inside = Window.partitionBy("_bucket").orderBy(F.desc_nulls_last(measure), *ties)
+    placed = marked.join(
+        F.broadcast(offsets), F.col("_bucket").eqNullSafe(F.col("_of"))
+    ).withColumn(rank, F.row_number().over(inside) + F.col("_offset"))
+    if total:
+        placed = placed.withColumn(total, F.col("_total"))
+    return placed.drop("_bucket", "_of", "_offset", "_total")
+
+
+def rank_small(frame: DataFrame, order: Sequence[Column], rank: str = "rank") -> DataFrame:
+    """Rank the rows of a frame of proven small size, such as the months of a calendar."""
+    return frame.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 def rank_and_share(
     frame: DataFrame, measure: str, key: str, rank: str = "rank", share: str = "approved_share"
 ) -> DataFrame:
     """Rank by ``measure`` descending (``key`` breaks ties) and add each row's share of the total."""
-    total = f"{measure}_total"
-    ranked = rank_all(
-        frame, [F.desc(measure), F.asc_nulls_last(key)], rank=rank, totals=[measure]
-    )
-    return ranked.withColumn(share, ratio(F.col(measure), F.col(total))).drop(total)
+    ranked = rank_by_measure(frame, measure, [F.asc_nulls_last(key)], rank, total="_whole")
+    return ranked.withColumn(share, ratio(F.col(measure), F.col("_whole"))).drop("_whole")
 
 
 def share_in_small_frame(frame: DataFrame, measure: str, share: str) -> DataFrame:
@@ -97,35 +102,38 @@ def rank_selected_in_group(
     measure: str,
     key: str,
     rank: str,
-    splits: int = 64,
+    most: int = 64,
 ) -> DataFrame:
     """Rank the ``selected`` rows among *all* rows of ``frame`` that share their group.
 
     Order: ``measure`` descending, then ``key`` ascending with nulls last.  The rank is the number
-    of rows at or before the selected row, so no group is ever sorted or gathered: the rows of a
-    group are spread over ``splits`` parts by a hash of the key, counted there, and the counts are
-    added.  ``selected`` must be a few rows per group, with non-null keys, and a subset of
-    ``frame``; it is copied once per part.
+    of rows at or before the selected row, so no group is sorted or gathered: the selected rows of a
+    group travel as one short array, each row of the group meets that array once, and the hits
+    are added up before they are shuffled.  ``selected`` is a subset of ``frame`` with non-null keys; more
+    than ``most`` rows in a group end the query with an error.
     """
     columns = selected.columns
-    rivals = frame.select(
-        F.col(group).alias("_group"),
-        F.col(measure).alias("_measure"),
-        F.col(key).alias("_key"),
-        F.pmod(F.hash(key), F.lit(splits)).alias("_split"),
+    chosen = F.struct(*columns)
+    marks = selected.groupBy(F.col(group).alias("_of")).agg(
+        F.count(F.lit(1)).alias("_n"), F.collect_list(chosen).alias("_marks")
     )
-    # Null-safe equality adds no null filter to either side, so a plan that both sides share is
-    # computed once.
-    copies = selected.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
-    at_or_before = (F.col("_measure") > F.col(measure)) | (
-        (F.col("_measure") == F.col(measure)) & (F.col("_key") <= F.col(key))
+    text = F.concat(F.lit(f"more than {most} selected rows in group "), F.col("_of").cast("string"))
+    checked = marks.select(
+        "_of",
+        F.when(F.col("_n") <= most, F.col("_marks"))
+        .otherwise(F.raise_error(F.coalesce(text, F.lit("null"))).cast(marks.schema["_marks"].dataType))
+        .alias("_marks"),
     )
-    matched = rivals.join(
-        copies,
-        F.col("_group").eqNullSafe(F.col(group))
-        & F.col("_split").eqNullSafe(F.col("_copy"))
-        & at_or_before,
-        "inner",
+    rivals = frame.select(
+        F.col(group).alias("_group"), F.col(measure).alias("_measure"), F.col(key).alias("_key")
+    )
+
+    def reached(mark: Column) -> Column:
+        level = F.col("_measure") == mark[measure]
+        return (F.col("_measure") > mark[measure]) | (level & (F.col("_key") <= mark[key]))
+
+    met = rivals.join(checked, F.col("_group").eqNullSafe(F.col("_of")))
+    hits = met.select(F.explode(F.filter("_marks", reached)).alias("_mark"))
+    return hits.groupBy("_mark").agg(F.count(F.lit(1)).alias(rank)).select(
+        *(F.col("_mark")[c].alias(c) for c in columns), rank
     )
-    part_counts = matched.groupBy(*columns, "_copy").agg(F.count(F.lit(1)).alias("_n"))
-    return part_counts.groupBy(*columns).agg(F.sum("_n").cast("int").alias(rank))

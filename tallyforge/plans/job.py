@@ -1,15 +1,16 @@
 """The raw -> Bronze -> Silver -> Gold batch job.
 
-Each stage can run on its own from the folders of the stage before.  Tables are refreshed in full.
-A stage writes to a staging folder, checks what it wrote, and only then replaces the published
-table, so a failed check leaves the last good version in place.  The caller owns the session,
-which must use UTC.
+Each stage can run on its own from the published version of the stage before.  Tables are refreshed in
+full.  A stage writes a new version of its layer, checks what it wrote, and only then makes it the
+current one (see ``tables``), so a failure at any point leaves the last good version readable as a
+whole.  The caller owns the session, which must use UTC.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -17,25 +18,12 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.operators.dimension import BROADCAST_BYTES
-from tallyforge.operators.reconcile import reconcile, require_reconciled
+from tallyforge.operators.dimension import BROADCAST_BYTES, text_bytes
+from tallyforge.operators.reconcile import reconcile_counts, require_reconciled
 from tallyforge.plans import gold as questions
 from tallyforge.plans import quality, silver, summaries
 from tallyforge.sources import provenance, tables
 
-# Results whose size the data model bounds by categories, hours, months or plans.
-SINGLE_FILE = (
-    "q3_category_hours",
-    "q4_association",
-    "q5_overview",
-    "q5_categories",
-    "q5_months",
-    "q5_hours",
-    "q5_opening_hours",
-    "q5_installments",
-)
-# Together these columns tell attempts apart well enough to spread a hot merchant or day.
-SPREAD_KEYS = ("purchase_date", "purchase_amount", "merchant_id")
 # Business tables are independent small jobs; a few at a time keep the cluster busy.
 CONCURRENT_WRITES = 4
 METRICS_SCHEMA = (
@@ -56,29 +44,51 @@ def _require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
+@contextmanager
+def _version(spark: SparkSession, layer: str) -> Iterator[str]:
+    """A new version's folder, published if the block ends well and discarded if not."""
+    folder = tables.new_version(layer)
+    try:
+        yield folder
+        tables.publish_version(spark, layer, folder)
+    except BaseException:
+        tables.discard(spark, folder)
+        raise
+
+
 def run_bronze(
     spark: SparkSession,
     raw_dir: str,
     bronze_dir: str,
     transactions_file: str = "historical_transactions.parquet",
     merchants_file: str = "merchants.csv",
+    spread: int | None = None,
 ) -> None:
-    """Copy both sources with load metadata and record their digests."""
+    """Copy both sources with load metadata and record their digests.
+
+    ``spread`` deals the transactions over so many files, which is for a raw file that Spark cannot
+    split; otherwise the session's settings for files decide.
+    """
     transactions = f"{raw_dir}/{transactions_file}"
     merchants = f"{raw_dir}/{merchants_file}"
     tables.require_paths(spark, [transactions, merchants], "Bronze")
     loaded_at = _now()
-    for name, frame in (
-        ("historical_transactions", tables.read_parquet(spark, transactions)),
-        ("merchants", tables.read_csv(spark, merchants)),
-    ):
-        described = tables.with_load_metadata(frame, "bronze", loaded_at, source_file=True)
-        if name == "historical_transactions":
-            described = tables.spread_small_scan(described, *SPREAD_KEYS)
-        tables.write_parquet(described, f"{bronze_dir}/{name}")
-    sources = {transactions_file: transactions, merchants_file: merchants}
-    digests = provenance.manifest(spark, sources)
-    digests.coalesce(1).write.mode("overwrite").json(f"{bronze_dir}/provenance.json")
+    with _version(spark, bronze_dir) as folder:
+        for name, frame in (
+            ("historical_transactions", tables.read_parquet(spark, transactions)),
+            ("merchants", tables.read_csv(spark, merchants)),
+        ):
+            described = tables.with_load_metadata(frame, "bronze", loaded_at, source_file=True)
+            if spread and name == "historical_transactions":
+                described = described.repartition(spread)
+            path = f"{folder}/{name}"
+            tables.write_parquet(described, path)
+            read, written = frame.count(), tables.read_parquet(spark, path).count()
+            if read != written:
+                raise ValueError(f"{name}: {read} rows read, {written} written")
+        sources = {transactions_file: transactions, merchants_file: merchants}
+        digests = provenance.manifest(spark, sources)
+        digests.coalesce(1).write.json(f"{folder}/provenance.json")
 
 
 def run_silver(
@@ -87,27 +97,31 @@ def run_silver(
     silver_dir: str,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict:
-    """Write validated, enriched attempts in one pass; returns the quality metrics."""
+    """Write validated, enriched attempts in one pass; returns the quality metrics.
+
+    The written lookup is measured and broadcast up to ``broadcast_bytes``; beyond that the same
+    join merges.
+    """
     _require_utc(spark)
-    sources = [f"{bronze_dir}/historical_transactions", f"{bronze_dir}/merchants"]
+    names = ("historical_transactions", "merchants")
+    sources = [tables.table_path(spark, bronze_dir, name) for name in names]
     tables.require_paths(spark, sources, "Silver")
     loaded_at = _now()
-    staging = f"{silver_dir}/_staging-{uuid.uuid4().hex}"
     raw = tables.read_parquet(spark, sources[0])
     merchants = tables.read_parquet(spark, sources[1])
     typed = silver.typed_attempts(raw)
+    with _version(spark, silver_dir) as folder:
 
-    def put(frame: DataFrame, name: str) -> DataFrame:
-        path = f"{staging}/{name}"
-        tables.write_parquet(tables.with_load_metadata(frame, "silver", loaded_at), path)
-        return tables.read_parquet(spark, path)
+        def put(frame: DataFrame, name: str) -> DataFrame:
+            path = f"{folder}/{name}"
+            tables.write_parquet(tables.with_load_metadata(frame, "silver", loaded_at), path)
+            return tables.read_parquet(spark, path)
 
-    try:
         # The lookup is joined from its written form: measured exactly, and a plain scan.
         lookup = put(silver.merchant_lookup(merchants), "merchant_lookup")
         conflicts = put(silver.merchant_conflicts(merchants), "merchant_conflicts")
         names = lookup.drop("silver_load_timestamp")
-        enriched = silver.enrich(typed, names, broadcast_bytes)
+        enriched = silver.enrich(typed, names, text_bytes(names) <= broadcast_bytes)
 
         # Counters ride on the write, as its last step, where a task counts only once.
         observed = Observation("silver")
@@ -126,12 +140,9 @@ def run_silver(
                 f"enrichment changed the row count from {source_rows} to {written_rows}"
             )
         metrics = {k: n for k, n in counts.items() if not k.startswith("invalid_")}
-        metrics["ambiguous_merchant_ids"] = conflicts.count()
-        _write_metrics(spark, metrics, f"{staging}/dq.json")
-        for name in ("transactions", "merchant_lookup", "merchant_conflicts", "dq.json"):
-            tables.publish(spark, f"{staging}/{name}", f"{silver_dir}/{name}")
-    finally:
-        tables.discard(spark, staging)
+        merchants_counted = conflicts.agg(F.count_distinct("merchant_id"))
+        metrics["ambiguous_merchant_ids"] = merchants_counted.first()[0]
+        _write_metrics(spark, metrics, f"{folder}/dq.json")
     return metrics
 
 
@@ -146,65 +157,58 @@ def _write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
 def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> dict:
     """Write all business and quality tables; returns the reconciliation.
 
-    Two scans of Silver make the stored summaries, and every business table is rolled up from
-    those.
+    Silver is scanned three times: for the two stored summaries, from which every business table is
+    rolled up, and for the warning samples.  Its side of the reconciliation is what Silver recorded about
+    itself when it was written.
     """
     _require_utc(spark)
-    needed = [f"{silver_dir}/{name}" for name in ("transactions", "merchant_conflicts", "dq.json")]
+    names = ("transactions", "merchant_conflicts", "dq.json")
+    needed = [tables.table_path(spark, silver_dir, name) for name in names]
     tables.require_paths(spark, needed, "Gold")
     loaded_at = _now()
-    staging = f"{gold_dir}/_staging-{uuid.uuid4().hex}"
     attempts = tables.read_parquet(spark, needed[0])
-
-    def put(frame: DataFrame, name: str, single_file: bool = False) -> DataFrame:
-        path = f"{staging}/{name}"
-        described = tables.with_load_metadata(frame, "gold", loaded_at)
-        tables.write_parquet(described, path, single_file)
-        return tables.read_parquet(spark, path)
-
-    try:
-        small_path = f"{staging}/small_summary"
-        summaries.small_summary(attempts).write.partitionBy("grouping_set").parquet(small_path)
-        merchant_path = f"{staging}/merchant_summary"
-        summaries.merchant_summary(attempts).write.parquet(merchant_path)
+    metrics = tables.read_json(spark, needed[2], METRICS_SCHEMA)
+    conflicts = tables.read_parquet(spark, needed[1]).drop("silver_load_timestamp")
+    with _version(spark, gold_dir) as folder:
+
+        def put(frame: DataFrame, name: str, single_file: bool = False) -> DataFrame:
+            path = f"{folder}/{name}"
+            described = tables.with_load_metadata(frame, "gold", loaded_at)
+            tables.write_parquet(described, path, single_file)
+            return tables.read_parquet(spark, path)
+
+        def at_once(*writes: Callable[[], DataFrame]) -> list[DataFrame]:
+            run = inheritable_thread_target(spark)(lambda write: write())
+            with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+                return list(pool.map(run, writes))
+
+        small, merchant = f"{folder}/small_summary", f"{folder}/merchant_summary"
+        at_once(
+            lambda: summaries.small_summary(attempts).write.partitionBy("grouping_set").parquet(small),
+            lambda: summaries.merchant_summary(attempts).write.parquet(merchant),
+            lambda: put(quality.warning_samples(attempts), "data_quality_warning_samples", True),
+            lambda: put(conflicts, "data_quality_merchant_conflicts"),
+        )
         by = summaries.stored_summaries(
-            tables.read_parquet(spark, small_path), tables.read_parquet(spark, merchant_path)
+            tables.read_parquet(spark, small), tables.read_parquet(spark, merchant)
         )
-        frames = questions.gold_frames(by)
-        write = inheritable_thread_target(spark)(
-            lambda name: put(frames[name], name, name in SINGLE_FILE)
+        written = at_once(
+            *(lambda q=q: put(q.ask(by), q.name, q.bounded) for q in questions.QUESTIONS)
         )
-        with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-            written = dict(zip(frames, pool.map(write, frames)))
-        reconciliation = reconcile(
-            attempts,
-            written["q5_cities"],
-            "purchase_amount",
-            "all_attempt_count",
-            "all_attempt_amount",
+        cities = dict(zip((q.name for q in questions.QUESTIONS), written))["q5_cities"]
+        recorded = metrics.select("row_count", "total_amount").first()
+        result = require_reconciled(
+            reconcile_counts(
+                recorded["row_count"],
+                recorded["total_amount"],
+                cities,
+                "all_attempt_count",
+                "all_attempt_amount",
+            )
         )
-        result = require_reconciled(reconciliation)
-        _write_metrics(spark, result, f"{staging}/reconciliation.json")
-
-        metrics = tables.read_json(spark, needed[2], METRICS_SCHEMA)
+        _write_metrics(spark, result, f"{folder}/reconciliation.json")
         gold_rows = spark.range(1).select(F.lit(result["gold_count"]).alias("gold_count"))
         put(quality.quality_summary(metrics, gold_rows), "data_quality_summary", True)
-        put(quality.warning_samples(attempts), "data_quality_warning_samples", True)
-        conflicts = tables.read_parquet(spark, needed[1])
-        put(
-            conflicts.drop("silver_load_timestamp").orderBy("merchant_id"),
-            "data_quality_merchant_conflicts",
-        )
-        for name in (
-            *written,
-            "data_quality_summary",
-            "data_quality_warning_samples",
-            "data_quality_merchant_conflicts",
-            "reconciliation.json",
-        ):
-            tables.publish(spark, f"{staging}/{name}", f"{gold_dir}/{name}")
-    finally:
-        tables.discard(spark, staging)
     return result
 
 

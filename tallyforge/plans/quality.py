@@ -100,7 +100,7 @@ def quality_counts() -> list[Column]:
 def quality_metrics(silver: DataFrame, conflicts: DataFrame) -> DataFrame:
     """One row: all counters, the total amount and the number of conflicting merchants."""
     rows = silver.agg(*quality_counts())
-    collisions = conflicts.agg(F.count(F.lit(1)).alias("ambiguous_merchant_ids"))
+    collisions = conflicts.agg(F.count_distinct("merchant_id").alias("ambiguous_merchant_ids"))
     return (
         rows.unionByName(collisions, allowMissingColumns=True)
         .agg(*(F.max(c).alias(c) for c in [*rows.columns, *collisions.columns]))

@@ -9,12 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import values as v
 from tallyforge.operators.contract import require_columns
-from tallyforge.operators.dimension import (
-    BROADCAST_BYTES,
-    attach,
-    canonical_names,
-    name_conflicts,
-)
+from tallyforge.operators.dimension import attach, canonical_names, conflicting_names
 
 ATTEMPT_COLUMNS = (
     "merchant_id",
@@ -82,15 +77,14 @@ def merchant_lookup(merchants: DataFrame) -> DataFrame:
 
 
 def merchant_conflicts(merchants: DataFrame) -> DataFrame:
+    """One row per conflicting merchant and name."""
     require_columns(merchants, MERCHANT_COLUMNS, "merchant source")
-    return name_conflicts(merchants, "merchant_id", "merchant_name")
+    return conflicting_names(merchants, "merchant_id", "merchant_name")
 
 
-def enrich(
-    typed: DataFrame, lookup: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def enrich(typed: DataFrame, lookup: DataFrame, broadcast: bool = False) -> DataFrame:
     """Attach the display name and both flags; unmatched attempts are named by their id."""
-    joined = attach(typed, lookup, "merchant_id", broadcast_bytes)
+    joined = attach(typed, lookup, "merchant_id", broadcast)
     return joined.withColumns(
         {
             "merchant_name": F.coalesce("merchant_name", "merchant_id", F.lit(v.UNKNOWN_MERCHANT)),
@@ -100,12 +94,7 @@ def enrich(
     )
 
 
-def to_silver(
-    attempts: DataFrame,
-    merchants: DataFrame,
-    validate: bool = True,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> Silver:
+def to_silver(attempts: DataFrame, merchants: DataFrame, validate: bool = True) -> Silver:
     """Silver frames; with ``validate`` one aggregate checks the whole source first.
 
     The batch job passes ``validate=False`` and checks the same counters on the rows it writes,
@@ -115,4 +104,4 @@ def to_silver(
     lookup = merchant_lookup(merchants)
     if validate:
         enforce_contract(contract_report(typed).first().asDict())
-    return Silver(enrich(typed, lookup, broadcast_bytes), lookup, merchant_conflicts(merchants))
+    return Silver(enrich(typed, lookup), lookup, merchant_conflicts(merchants))

@@ -20,6 +20,7 @@ Summaries = Callable[..., DataFrame]
 # Grains of the stored summaries.
 SMALL_SETS = (
     ("city_id", "category"),
+    ("city_id", "year_month"),
     ("category", "hour"),
     ("day",),
     ("plan_installments",),
@@ -63,13 +64,14 @@ def summaries_of(attempts: DataFrame) -> Summaries:
 def small_summary(attempts: DataFrame) -> DataFrame:
     """All low-cardinality grains in one pass."""
     names = list(dict.fromkeys(name for wanted in SMALL_SETS for name in wanted))
-    return measures_by_sets(
+    grouped = measures_by_sets(
         attempts,
         {name: dimension(name) for name in names},
         SMALL_SETS,
         "purchase_amount",
         _accepted(),
     )
+    return grouped.withColumn("year_month", v.year_month(F.col("year_month")))
 
 
 def merchant_summary(attempts: DataFrame) -> DataFrame:

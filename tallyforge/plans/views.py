@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import labels
 from tallyforge.functions.values import UNKNOWN_CATEGORY
+from tallyforge.operators.dimension import name_conflicts
+from tallyforge.operators.ranking import rank_small
 
 
 def preview(frame: DataFrame, n: int) -> list[dict[str, Any]]:
@@ -59,22 +61,25 @@ def q1_slice(q1: DataFrame, month: str, city: int) -> DataFrame:
 # Q2
 
 def q2_leaders(q2: DataFrame, n: int = 5) -> DataFrame:
-    """Largest averages; the published columns break ties."""
-    return q2.orderBy(
-        F.desc("average_amount"), F.asc_nulls_last("merchant"), F.asc_nulls_last("state_id")
-    ).limit(n)
+    """The first places of the published ranking."""
+    return leading(q2, n)
 
 
 # Q3
 
-def q3_listing(q3: DataFrame, n: int = 12) -> DataFrame:
-    return q3.orderBy("category", "rank").limit(n)
+def q3_listing(q3: DataFrame) -> DataFrame:
+    """All categories with their leading hours, in order."""
+    return q3.orderBy("category", "rank")
 
 
 # Q4
 
 def q4_ordered(q4: DataFrame) -> DataFrame:
-    return q4.orderBy("global_rank", F.desc("city_attempt_count"), F.asc_nulls_last("city_id"))
+    """Each popular merchant's cities, numbered from the one with the most attempts."""
+    inside = Window.partitionBy("global_rank").orderBy(
+        F.desc("city_attempt_count"), F.asc_nulls_last("city_id")
+    )
+    return q4.withColumn("position", F.row_number().over(inside))
 
 
 def merchant_city_stack(q4: DataFrame) -> DataFrame:
@@ -100,7 +105,8 @@ def leading_known_categories(categories: DataFrame, n: int = 2) -> DataFrame:
 
 
 def months_in_order(months: DataFrame) -> DataFrame:
-    return months.orderBy("year_month").select(
+    return rank_small(months, [F.asc("year_month")], "position").select(
+        "position",
         "year_month",
         labels.month_label(F.col("year_month")).alias("month"),
         "approved_amount_per_observed_day",
@@ -109,7 +115,8 @@ def months_in_order(months: DataFrame) -> DataFrame:
 
 
 def hours_in_order(hours: DataFrame) -> DataFrame:
-    return hours.orderBy("hour").select(
+    return rank_small(hours, [F.asc("hour")], "position").select(
+        "position",
         "hour",
         labels.hour_label(F.col("hour")).alias("hour_label"),
         "approved_amount",
@@ -122,8 +129,8 @@ def midnight(hours: DataFrame) -> DataFrame:
     return hours.filter(F.col("hour") == 0)
 
 
-def charted_plans(installments: DataFrame, largest: int = 12) -> DataFrame:
-    """Plans with approved exposure and a plottable number of payments."""
+def charted_plans(installments: DataFrame, largest: int) -> DataFrame:
+    """Plans with approved exposure and from one to ``largest`` payments, the range of the chart."""
     return (
         installments.filter(
             F.col("plan_installments").between(1, largest) & (F.col("approved_amount") > 0)
@@ -215,7 +222,9 @@ def samples_of(samples: DataFrame, check_name: str) -> DataFrame:
     return samples.filter(F.col("check_name") == check_name).orderBy("sample_rank")
 
 
-def conflict_listing(conflicts: DataFrame) -> DataFrame:
+def conflict_listing(names: DataFrame) -> DataFrame:
+    """Conflicting merchants with their names in one line."""
+    conflicts = name_conflicts(names, "merchant_id")
     return conflicts.orderBy(F.asc_nulls_last("merchant_id")).select(
         "merchant_id",
         F.array_join("nonblank_names", " | ").alias("source_names"),

@@ -1,31 +1,13 @@
-"""Byte sizes and SHA-256 digests of source files, computed by Spark tasks."""
+"""Byte sizes and SHA-256 digests of source files, and of rows, computed by Spark tasks."""
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The binary file source holds a file in one value, so larger files are hashed block by block.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-
+from tallyforge.sources.tables import absolute, is_file
 
-def _hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for uri in batch["path"]:
-            system, path = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(path) as stream:
-                while block := stream.read(8 * 1024 * 1024):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
+_CONTENT_LIMIT = "spark.sql.sources.binaryFile.maxLength"
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -33,45 +15,66 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
-def digests(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """``source, path, bytes, sha256`` of listed files that carry a ``source`` column."""
-    known = ["source", "path", F.col("length").alias("bytes")]
-    small = files.filter(F.col("length") <= whole_file_bytes).select(
-        *known, F.sha2("content", 256).alias("sha256")
+def digests(spark: SparkSession, path: str) -> DataFrame:
+    """``file, bytes, sha256`` of every file; ``file`` is its path below ``path``.
+
+    Spark's own reader opens the files, so any file system it knows will do.  It holds a file in one
+    value, up to the session's limit for that; a larger file is named in an error before any
+    content is read.
+    """
+    files = list_files(spark, path)
+    limit = int(spark.conf.get(_CONTENT_LIMIT, str(2**31 - 1)))
+    large = [r["path"] for r in files.filter(F.col("length") > limit).select("path").take(5)]
+    if large:
+        raise ValueError(f"files above {limit} bytes ({_CONTENT_LIMIT}): {', '.join(large)}")
+    inside = F.regexp_replace("path", "^[^:/]+:(//[^/]*)?", "")
+    below = F.substr(inside, F.lit(len(absolute(spark, path)) + 2))
+    return files.select(
+        below.alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
     )
-    large = files.filter(F.col("length") > whole_file_bytes).select(*known)
-    if large.isEmpty():  # reads no contents, and spares starting Python workers for nothing
-        return small
-    hashed = large.repartition("path").mapInPandas(
-        _hash_blocks, "source string, path string, bytes long, sha256 string"
+
+
+def _words(digest: Column) -> list[Column]:
+    return [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)]
+
+
+def combined(digest: Column) -> Column:
+    """Aggregate: one digest for a set of SHA-256 digests, whatever their number and order.
+
+    The eight 32-bit words of the digests are added modulo 2^32, so the state is eight sums.
+    """
+    sums = [F.pmod(F.sum(w), F.lit(1 << 32)) for w in _words(digest)]
+    return F.concat(*(F.lpad(F.lower(F.hex(s)), 8, "0") for s in sums))
+
+
+def row_digests(frame: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    """Rows and combined digest of each group; a row's digest is that of its values, joined by '|'."""
+    entry = F.sha2(F.concat_ws("|", *(F.col(c).cast("string") for c in columns)), 256)
+    return frame.groupBy(group).agg(
+        F.count(F.lit(1)).alias("row_count"), combined(entry).alias("sha256")
     )
-    return small.unionByName(hashed)
 
 
 def manifest(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
-    """One row per source: file count, bytes and a digest over its files.
+    """One row per source: file count, bytes and a digest.
 
-    A single file has its own SHA-256.  For several files each name and digest is hashed again and
-    the eight 32-bit words are added modulo 2^32: the result does not depend on file order, and a
-    source of any number of files needs only eight sums.
+    A file has its own SHA-256.  A folder's combines, for each file, the digest of its path below the
+    folder and its SHA-256: a folder of one file is not that file, and files that change places change
+    the digest.
     """
     listed = None
     for name, path in sources.items():
-        files = list_files(spark, path).withColumn("source", F.lit(name))
+        files = digests(spark, path).withColumns(
+            {"source": F.lit(name), "alone": F.lit(is_file(spark, path))}
+        )
         listed = files if listed is None else listed.unionByName(files)
-    hashed = digests(listed).withColumn("file", F.regexp_extract("path", "([^/]+)$", 1))
     entry = F.sha2(F.concat_ws(":", "file", "sha256"), 256)
-    words = [F.conv(F.substring(entry, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)]
-    sums = hashed.groupBy("source").agg(
+    sums = listed.groupBy("source", "alone").agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("bytes").alias("bytes"),
         F.max("sha256").alias("_only"),
-        *(F.pmod(F.sum(w), F.lit(1 << 32)).alias(f"_w{i}") for i, w in enumerate(words)),
+        combined(entry).alias("_all"),
     )
-    combined = F.concat(*(F.lpad(F.lower(F.hex(f"_w{i}")), 8, "0") for i in range(8)))
     return sums.select(
-        "source",
-        "files",
-        "bytes",
-        F.when(F.col("files") == 1, F.col("_only")).otherwise(combined).alias("sha256"),
+        "source", "files", "bytes", F.when(F.col("alone"), F.col("_only")).otherwise(F.col("_all")).alias("sha256")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime
 from typing import Any
@@ -11,9 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-MANY_SPLITS = 32
-
-
 def _filesystem(spark: SparkSession, path: str):
     """Hadoop path and file system, so local folders and object stores work alike."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -31,36 +29,74 @@ def require_paths(spark: SparkSession, paths: Iterable[str], stage: str) -> None
         raise FileNotFoundError(f"{stage} inputs are missing: {', '.join(absent)}")
 
 
-def publish(spark: SparkSession, staged: str, final: str) -> None:
-    """Replace ``final`` by the completely written ``staged`` folder."""
-    target, fs = _filesystem(spark, final)
-    source, _ = _filesystem(spark, staged)
-    fs.delete(target, True)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        raise OSError(f"could not publish {staged} as {final}")
+def absolute(spark: SparkSession, path: str) -> str:
+    """``path`` from the root of its file system, without scheme and host."""
+    hadoop_path, fs = _filesystem(spark, path)
+    return fs.makeQualified(hadoop_path).toUri().getPath().rstrip("/")
 
 
-def discard(spark: SparkSession, staged: str) -> None:
-    path, fs = _filesystem(spark, staged)
-    fs.delete(path, True)
+def is_file(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _filesystem(spark, path)
+    return fs.getFileStatus(hadoop_path).isFile()
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+# Versions of a layer.  Each run writes a folder of its own below ``_versions``; a small file names the
+# one that counts and is replaced last, so readers see the old tables or all of the new ones.
+# Data is never renamed.
+
+_POINTER = "_current"
+
+
+def new_version(layer: str) -> str:
+    return f"{layer}/_versions/{uuid.uuid4().hex}"
 
 
-def spread_small_scan(frame: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle an input with fewer splits than cores, before costly per-row work.
+def current_version(spark: SparkSession, layer: str) -> str | None:
+    """The published folder of a layer, if there is one."""
+    path, fs = _filesystem(spark, f"{layer}/{_POINTER}")
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{layer}/_versions/{name}"
 
-    A single file, or one that cannot be split, would otherwise keep one core busy.  Inputs with
-    many splits are left alone, as a shuffle of them would cost more than idle cores.  Keys that
-    ``frame`` lacks are ignored; without any, rows are dealt out evenly.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= min(cores, MANY_SPLITS):
-        return frame
-    return frame.repartition(cores, *(k for k in keys if k in frame.columns))
+
+def table_path(spark: SparkSession, layer: str, name: str) -> str:
+    """Where the published table ``name`` of a layer is; a missing layer leads to a missing path."""
+    return f"{current_version(spark, layer) or layer}/{name}"
+
+
+def publish_version(spark: SparkSession, layer: str, version: str) -> None:
+    """Make a completely written version the current one; the one before it stays, older ones go."""
+    before = current_version(spark, layer)
+    pointer, fs = _filesystem(spark, f"{layer}/{_POINTER}")
+    written, _ = _filesystem(spark, f"{version}{_POINTER}")
+    stream = fs.create(written, True)
+    stream.write(version.rsplit("/", 1)[1].encode())
+    stream.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(written), fs.makeQualified(pointer), overwrite)
+    kept = {x.rsplit("/", 1)[1] for x in (before, version) if x}
+    for status in fs.listStatus(written.getParent()):
+        if status.getPath().getName() not in kept:
+            fs.delete(status.getPath(), True)
+
+
+def discard(spark: SparkSession, version: str) -> None:
+    path, fs = _filesystem(spark, version)
+    fs.delete(path, True)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -6,14 +6,17 @@ engine.  Dates are handed on as text, to exercise parsing.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.plans.silver import Silver, to_silver, typed_attempts
-from tallyforge.sources.tables import spread_small_scan
 
 # Stating the schemas spares a job per table that would read file footers to infer them.
 SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": (
         "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -39,8 +42,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder below the session's ``spark.checkpoint.dir``, or in a local session without one,
+    a temporary folder of this machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{shared or tempfile.gettempdir()}/tallyforge-{uuid.uuid4().hex}"
+
+
 def raw_attempts(spark: SparkSession, folder: str) -> DataFrame:
-    line = spread_small_scan(table(spark, folder, "lineitem"), "l_orderkey")
+    line = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
     customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation")

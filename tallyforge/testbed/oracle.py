@@ -2,7 +2,45 @@
 
 from __future__ import annotations
 
-from tallyforge.plans.quality import CHECKS
+# Check, counter and description of the quality summary.
+LINES = (
+    ("Rows processed", "row_count", "Silver rows evaluated by the quality checks."),
+    ("Rows dropped", "rows_dropped", "Rows not conserved between Silver and reconciled Gold."),
+    (
+        "Missing merchant ID",
+        "missing_merchant_id",
+        "Transactions without a merchant identifier; name falls back to Unknown merchant.",
+    ),
+    (
+        "Unmatched merchant lookup",
+        "unmatched_merchant_lookup",
+        "Transactions without a matching merchant metadata row; merchant ID is used as the name.",
+    ),
+    (
+        "Merchant identity collisions",
+        "ambiguous_merchant_ids",
+        "Merchant IDs associated with more than one nonblank source name.",
+    ),
+    (
+        "Unknown category",
+        "unknown_category",
+        "Null or blank categories retained as Unknown category.",
+    ),
+    ("Unknown city", "unknown_city", "Null or -1 transaction city identifiers."),
+    ("Unknown state", "unknown_state", "Null or -1 transaction state identifiers."),
+    (
+        "Denied authorization",
+        "denied",
+        "Valid denied attempts retained for recorded-attempt analysis.",
+    ),
+    ("Unknown authorization", "unknown_authorization", "Authorization values outside Y and N."),
+    ("Nonpositive amount", "nonpositive_amount", "Purchase amounts less than or equal to zero."),
+    (
+        "Unknown installments",
+        "unknown_installments",
+        "Null, negative, or sentinel 999 installment values.",
+    ),
+)
 
 SILVER = """
 raw_merchants AS (
@@ -81,6 +119,10 @@ def _money(column: str) -> str:
     )
 
 
+def _modelled(text: str) -> str:
+    return f"coalesce({text}, 'Excluded')"
+
+
 # Bodies that follow the Silver CTEs; each is "<ctes> SELECT ..." in one string.
 Q1 = f"""q1 AS (
   SELECT rank, year_month, city_id, merchant_id, merchant_name, total, attempts FROM (
@@ -94,7 +136,9 @@ Q1_OUT = """rank, year_month, city_id, merchant_id, merchant_name,
   CAST(total AS DOUBLE) AS total_amount, attempts AS attempt_count"""
 Q2 = """q2 AS (
   SELECT merchant_id, merchant_name AS merchant, state_id,
-         round(CAST(sum(purchase_amount) AS DOUBLE) / count(*), 6) AS average_amount
+         round(CAST(sum(purchase_amount) AS DOUBLE) / count(*), 6) AS average_amount,
+         row_number() OVER (ORDER BY round(CAST(sum(purchase_amount) AS DOUBLE) / count(*), 6) DESC,
+           merchant_id NULLS LAST, state_id NULLS LAST, merchant_name NULLS LAST) AS rank
   FROM silver GROUP BY merchant_id, merchant_name, state_id
 )"""
 Q3 = """q3 AS (
@@ -276,7 +320,7 @@ def _line(name: str, counter: str, text: str) -> str:
 
 SUMMARY = f"""{CONFLICTS}, {METRICS},
 by_city AS (SELECT city_id, count(*) AS n FROM silver GROUP BY city_id),
-summary AS ({' UNION ALL '.join(_line(*line) for line in CHECKS)})"""
+summary AS ({' UNION ALL '.join(_line(*line) for line in LINES)})"""
 
 _SAMPLED = [
     ("Missing merchant ID", "merchant_id IS NULL"),
@@ -327,6 +371,7 @@ def _source(key: str) -> str:
 def _grouping_sets() -> str:
     sets = [
         ("city_id+category", {"city_id": "city_id", "category": "category"}),
+        ("city_id+year_month", {"city_id": "city_id", "year_month": "year_month"}),
         ("category+hour", {"category": "category", "hour": "purchase_hour"}),
         ("day", {"day": "CAST(purchase_day AS VARCHAR)"}),
         ("plan_installments", {"plan_installments": "plan"}),
@@ -337,6 +382,7 @@ def _grouping_sets() -> str:
         columns = {
             "city_id": "CAST(NULL AS BIGINT)",
             "category": "CAST(NULL AS VARCHAR)",
+            "year_month": "CAST(NULL AS VARCHAR)",
             "hour": "CAST(NULL AS BIGINT)",
             "day": "CAST(NULL AS VARCHAR)",
             "plan_installments": "CAST(NULL AS BIGINT)",
@@ -365,11 +411,33 @@ def oracle_sql() -> dict[str, str]:
         ),
         "merchant_lookup": q("SELECT * FROM lookup"),
         "merchant_conflicts": q(CONFLICTS, "SELECT * FROM conflicts"),
+        "merchant_conflict_names": q(
+            """several AS (SELECT merchant_id FROM names WHERE n > 1)""",
+            """SELECT DISTINCT r.merchant_id, trim(merchant_name, ' ') AS nonblank_name
+               FROM raw_merchants r JOIN several USING (merchant_id)
+               WHERE trim(merchant_name, ' ') <> ''""",
+        ),
+        "contract_of_unparsed_text": """SELECT count(*) AS row_count,
+            count(*) FILTER (event_id % 3 <> 1) AS invalid_date,
+            count(*) FILTER (event_id % 5 IN (0, 4)) AS invalid_amount FROM events""",
+        "rows_rejected": """SELECT event_type AS category, count(*) AS rejected FROM events
+            WHERE event_id % 3 <> 1 OR event_id % 5 IN (0, 4) GROUP BY event_type""",
+        "peek_regions": "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region",
+        "order_row_digests": """WITH digests AS (
+              SELECT o_orderstatus, sha256(o_orderkey || '|' || o_custkey || '|' || o_orderpriority) AS d
+              FROM orders),
+            words AS (
+              SELECT o_orderstatus, i, count(*) AS n,
+                sum(('0x' || substr(d, 8 * i + 1, 8))::BIGINT) % 4294967296 AS w
+              FROM digests, range(8) AS t(i) GROUP BY o_orderstatus, i)
+            SELECT o_orderstatus, max(n) AS row_count,
+              string_agg(lpad(lower(to_hex(w::BIGINT)), 8, '0'), '' ORDER BY i) AS sha256
+            FROM words GROUP BY o_orderstatus""",
         "contract_report": q(
             f"""SELECT count(*) AS row_count, {_count('purchase_date IS NULL')} AS invalid_date,
               {_count('purchase_amount IS NULL')} AS invalid_amount FROM attempts"""
         ),
-        "q2_merchant_state": q(Q2, "SELECT merchant, state_id, average_amount FROM q2"),
+        "q2_merchant_state": q(Q2, "SELECT rank, merchant, state_id, average_amount FROM q2"),
         "q3_category_hours": q(Q3, "SELECT * FROM q3"),
         "q4_popular_merchants": popular,
         "q4_city_category": q(
@@ -426,16 +494,18 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q2_leaders": q(
             Q2,
-            """SELECT merchant, state_id, average_amount FROM q2
-               ORDER BY average_amount DESC, merchant NULLS LAST, state_id NULLS LAST LIMIT 5""",
+            "SELECT rank, merchant, state_id, average_amount FROM q2 WHERE rank <= 5",
         ),
         "q2_hundred_leaders": q(
             Q2,
-            """SELECT merchant, state_id, average_amount FROM q2
-               ORDER BY average_amount DESC, merchant NULLS LAST, state_id NULLS LAST LIMIT 100""",
+            "SELECT rank, merchant, state_id, average_amount FROM q2 WHERE rank <= 100",
+        ),
+        "q3_listing": q(Q3, "SELECT * FROM q3"),
+        "q4_ordered": q(
+            Q4,
+            """SELECT *, row_number() OVER (PARTITION BY global_rank
+              ORDER BY city_attempt_count DESC, city_id NULLS LAST) AS position FROM q4""",
         ),
-        "q3_listing": q(Q3, "SELECT * FROM q3 ORDER BY category, rank LIMIT 12"),
-        "q4_ordered": popular,
         "association_text": q(
             ASSOCIATION,
             """SELECT format('{:.4f}', sqrt((SELECT x FROM chi) / (sum(n)
@@ -462,12 +532,14 @@ def oracle_sql() -> dict[str, str]:
         "leading_months": q(MONTHS, "SELECT * FROM months WHERE exposure_adjusted_rank <= 5"),
         "months_in_order": q(
             MONTHS,
-            """SELECT year_month, strftime(strptime(year_month, '%Y-%m'), '%b %Y') AS "month",
+            """SELECT row_number() OVER (ORDER BY year_month) AS position, year_month,
+              strftime(strptime(year_month, '%Y-%m'), '%b %Y') AS "month",
               approved_amount_per_observed_day, observed_days FROM months""",
         ),
         "hours_in_order": q(
             HOURS,
-            """SELECT "hour", printf('%02d:00', "hour") AS hour_label, approved_amount,
+            """SELECT row_number() OVER (ORDER BY "hour") AS position, "hour",
+              printf('%02d:00', "hour") AS hour_label, approved_amount,
               approved_count, approved_share FROM hours""",
         ),
         "midnight_bucket": q(HOURS, 'SELECT * FROM hours WHERE "hour" = 0'),
@@ -488,7 +560,11 @@ def oracle_sql() -> dict[str, str]:
         "installment_report": q(
             PLANS,
             f"""SELECT installment_plan, {_money('ok_amount')} AS approved_exposure,
-              {_money('all_amount')} AS all_attempt_exposure FROM plans""",
+              {_money('all_amount')} AS all_attempt_exposure,
+              {_modelled("format('{:.2f}', 100 * monthly / nullif(approved_amount, 0)) || '%'")} AS monthly_rate,
+              {_modelled(_money('CAST(round(monthly, 2) AS DECIMAL(38,2))'))} AS monthly_profit,
+              {_modelled(_money('CAST(round(flat, 2) AS DECIMAL(38,2))'))} AS flat_profit
+              FROM plans""",
         ),
         "overview_text": q(
             OVERVIEW,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import values as v
 from tallyforge.operators.association import cramers_v
-from tallyforge.operators.dimension import canonical_names, name_conflicts
+from tallyforge.operators.dimension import canonical_names, conflicting_names, name_conflicts
 from tallyforge.operators.interval import shortest_circular_interval
 from tallyforge.operators.measures import exposure_rate, measures
 from tallyforge.operators.ranking import (
@@ -125,17 +125,61 @@ def _contract_report(spark: SparkSession, folder: str) -> DataFrame:
     return silver.contract_report(binding.attempts(spark, folder))
 
 
+def _text_attempts(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as raw attempts whose date and amount are free text, most of it neither."""
+    events = binding.table(spark, folder, "events")
+    text = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(
+        F.col("event_id") % 3 == 1, F.date_format("ts", v.TIMESTAMP_FORMAT)
+    )
+    money = F.when(F.col("event_id") % 5 == 0, F.col("props")).when(
+        F.col("event_id") % 5 < 4, (F.col("event_id") % 1000).cast("string")
+    )
+    return silver.typed_attempts(
+        events.select(
+            F.concat(F.lit("M_"), "user_id").alias("merchant_id"),
+            text.alias("purchase_date"),
+            money.alias("purchase_amount"),
+            F.lit(1).cast("long").alias("city_id"),
+            F.lit(1).cast("long").alias("state_id"),
+            F.col("event_type").alias("category"),
+            F.lit(1).cast("long").alias("installments"),
+            F.lit("Y").alias("authorized_flag"),
+        )
+    )
+
+
+def _contract_of_unparsed_text(spark: SparkSession, folder: str) -> DataFrame:
+    return silver.contract_report(_text_attempts(spark, folder))
+
+
+def _rows_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected rows by category."""
+    typed = _text_attempts(spark, folder)
+    rejected = typed.filter(F.col("purchase_date").isNull() | F.col("purchase_amount").isNull())
+    return comparable(rejected.groupBy("category").agg(F.count(F.lit(1)).alias("rejected")))
+
+
+def _order_row_digests(spark: SparkSession, folder: str) -> DataFrame:
+    orders = binding.table(spark, folder, "orders")
+    return provenance.row_digests(
+        orders, "o_orderstatus", ["o_orderkey", "o_custkey", "o_orderpriority"]
+    )
+
+
 def _grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(summaries.small_summary(binding.attempts(spark, folder)))
 
 
 def _stored(make: Callable[[summaries.Summaries], DataFrame]) -> Query:
-    """The same questions answered from the two summaries the batch job stores."""
+    """The same questions answered from the two summaries, stored as the batch job stores them."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         attempts = binding.silver(spark, folder).transactions
-        small, merchant = summaries.small_summary(attempts), summaries.merchant_summary(attempts)
-        return comparable(make(summaries.stored_summaries(small, merchant)))
+        work = binding.work_folder(spark)
+        summaries.small_summary(attempts).write.partitionBy("grouping_set").parquet(f"{work}/small")
+        summaries.merchant_summary(attempts).write.parquet(f"{work}/merchant")
+        stored = (tables.read_parquet(spark, f"{work}/{n}") for n in ("small", "merchant"))
+        return comparable(make(summaries.stored_summaries(*stored)))
 
     return run
 
@@ -230,16 +274,10 @@ def _names_of_customers(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
     )
     named = canonical_names(customer, "nation", "segment", "none")
-    conflicts = name_conflicts(customer, "nation", "segment")
+    conflicts = name_conflicts(conflicting_names(customer, "nation", "segment"), "nation")
     return comparable(named.join(conflicts, "nation", "left"))
 
 
-def _label_listing(by: summaries.Summaries) -> DataFrame:
-    return views.installment_report(gold.q5_installments(by)).select(
-        "installment_plan", "approved_exposure", "all_attempt_exposure"
-    )
-
-
 def _q1_slice(by: summaries.Summaries) -> DataFrame:
     return views.q1_slice(gold.q1_top_merchants(by), "1998-06", 3)
 
@@ -254,8 +292,17 @@ def queries() -> dict[str, Query]:
         "q1_top_merchants": named(gold.q1_top_merchants),
         "silver_enriched": on(lambda s: s.transactions),
         "merchant_lookup": _on_merchants(silver.merchant_lookup),
-        "merchant_conflicts": _on_merchants(silver.merchant_conflicts),
+        "merchant_conflicts": _on_merchants(
+            lambda m: name_conflicts(silver.merchant_conflicts(m), "merchant_id")
+        ),
+        "merchant_conflict_names": _on_merchants(silver.merchant_conflicts),
         "contract_report": _contract_report,
+        "contract_of_unparsed_text": _contract_of_unparsed_text,
+        "rows_rejected": _rows_rejected,
+        "peek_regions": lambda spark, folder: comparable(
+            views.peek(binding.table(spark, folder, "region"), ["r_regionkey", "r_name"], 10)
+        ),
+        "order_row_digests": _order_row_digests,
         "q2_merchant_state": named(gold.q2_merchant_state),
         "q3_category_hours": by(gold.q3_category_hours),
         "q4_popular_merchants": named(gold.q4_popular_merchants),
@@ -304,11 +351,11 @@ def queries() -> dict[str, Query]:
         "months_in_order": by(lambda b: views.months_in_order(gold.q5_months(b))),
         "hours_in_order": by(lambda b: views.hours_in_order(gold.q5_hours(b))),
         "midnight_bucket": by(lambda b: views.midnight(gold.q5_hours(b))),
-        "charted_plans": by(lambda b: views.charted_plans(gold.q5_installments(b))),
+        "charted_plans": by(lambda b: views.charted_plans(gold.q5_installments(b), 12)),
         "positive_plan_limit": by(
             lambda b: views.recommended_plan_limit(gold.q5_installments(b))
         ),
-        "installment_report": by(_label_listing),
+        "installment_report": by(lambda b: views.installment_report(gold.q5_installments(b))),
         "overview_text": by(lambda b: views.overview_text(gold.q5_overview(b))),
         "interval_text": by(
             lambda b: views.interval_text(gold.q5_opening_hours(gold.q5_hours(b)))

@@ -20,6 +20,15 @@ def layers(tmp_path):
     return {name: str(tmp_path / name) for name in ("raw", "bronze", "silver", "gold")}
 
 
+def published(spark, layers, layer, name):
+    return spark.read.parquet(tables.table_path(spark, layers[layer], name))
+
+
+def visible(folder):
+    """Names in a folder, without the checksums that local file systems keep."""
+    return {p.name for p in Path(folder).iterdir() if not p.name.endswith(".crc")}
+
+
 def write_raw(spark, folder, attempts, merchants):
     Path(folder).mkdir(parents=True, exist_ok=True)
     spark.createDataFrame(attempts, RAW_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
@@ -49,32 +58,35 @@ def test_whole_job(spark, layers):
     raw = spark.createDataFrame(GOOD, RAW_SCHEMA)
     merchants = spark.createDataFrame(MERCHANTS, "merchant_id string, merchant_name string")
     expected = silver.to_silver(raw, merchants)
-    frames = gold.gold_frames(summaries.summaries_of(expected.transactions))
-    for name, frame in frames.items():
-        written = spark.read.parquet(f"{layers['gold']}/{name}").drop("gold_load_timestamp")
+    by = summaries.summaries_of(expected.transactions)
+    for question in gold.QUESTIONS:
+        name, frame = question.name, question.ask(by)
+        written = published(spark, layers, "gold", name).drop("gold_load_timestamp")
         assert written.dtypes == frame.dtypes, name
         assert sorted(map(str, written.collect())) == sorted(map(str, frame.collect())), name
 
-    metrics = tables.read_json(spark, f"{layers['silver']}/dq.json", job.METRICS_SCHEMA).first()
+    path = tables.table_path(spark, layers["silver"], "dq.json")
+    metrics = tables.read_json(spark, path, job.METRICS_SCHEMA).first()
     want = quality.quality_metrics(expected.transactions, expected.merchant_conflicts).first()
     assert metrics.asDict() == want.asDict()
-    summary = spark.read.parquet(f"{layers['gold']}/data_quality_summary")
+    summary = published(spark, layers, "gold", "data_quality_summary")
     dropped = views.metric_value(summary, "Rows dropped").first()
     assert tuple(dropped) == (0, 0.0)
-    samples = spark.read.parquet(f"{layers['gold']}/data_quality_warning_samples")
+    samples = published(spark, layers, "gold", "data_quality_warning_samples")
     got = samples.drop("gold_load_timestamp").orderBy("check_name", "sample_rank").collect()
     assert got == quality.warning_samples(expected.transactions).collect()
-    conflicts = spark.read.parquet(f"{layers['gold']}/data_quality_merchant_conflicts")
+    conflicts = published(spark, layers, "gold", "data_quality_merchant_conflicts")
     assert views.conflict_listing(conflicts).first()["source_names"] == "One | Uno"
 
-    transactions = spark.read.parquet(f"{layers['silver']}/transactions")
+    transactions = published(spark, layers, "silver", "transactions")
     assert {"bronze_load_timestamp", "silver_load_timestamp"} <= set(transactions.columns)
     assert transactions.select("silver_load_timestamp").distinct().count() == 1
     names = [r[0] for r in transactions.select("source_file_name").distinct().collect()]
     assert len(names) == 1 and names[0].endswith(".parquet")
-    assert not [p.name for p in Path(layers["silver"]).iterdir() if p.name.startswith("_staging")]
-    assert not [p.name for p in Path(layers["gold"]).iterdir() if p.name.startswith("_staging")]
-    listed = spark.read.json(f"{layers['bronze']}/provenance.json")
+    for layer in ("bronze", "silver", "gold"):
+        assert visible(layers[layer]) == {"_current", "_versions"}
+        assert len(visible(f"{layers[layer]}/_versions")) == 1
+    listed = spark.read.json(tables.table_path(spark, layers["bronze"], "provenance.json"))
     digest = hashlib.sha256(Path(layers["raw"], "merchants.csv").read_bytes()).hexdigest()
     assert listed.filter(F.col("source") == "merchants.csv").first()["sha256"] == digest
 
@@ -85,7 +97,7 @@ def test_a_second_run_replaces_the_first(spark, layers):
     job.run_all(spark, *paths)
     write_raw(spark, layers["raw"], GOOD[:50], MERCHANTS)
     assert job.run_all(spark, *paths)["gold_count"] == 50
-    overview = spark.read.parquet(f"{layers['gold']}/q5_overview").first()
+    overview = published(spark, layers, "gold", "q5_overview").first()
     assert overview["recorded_attempts"] == 50
 
 
@@ -104,9 +116,10 @@ def test_a_failed_check_keeps_the_published_silver(spark, layers, bad, message):
     job.run_bronze(spark, layers["raw"], layers["bronze"])
     with pytest.raises(ValueError, match=message):
         job.run_silver(spark, layers["bronze"], layers["silver"])
-    assert spark.read.parquet(f"{layers['silver']}/transactions").count() == 200
-    left = {p.name for p in Path(layers["silver"]).iterdir()}
-    assert left == {"transactions", "merchant_lookup", "merchant_conflicts", "dq.json"}
+    assert published(spark, layers, "silver", "transactions").count() == 200
+    current = Path(tables.current_version(spark, layers["silver"]))
+    assert visible(current) == {"transactions", "merchant_lookup", "merchant_conflicts", "dq.json"}
+    assert visible(current.parent) == {current.name}
 
 
 def test_empty_source(spark, layers):
@@ -117,7 +130,7 @@ def test_empty_source(spark, layers):
     job.run_bronze(spark, layers["raw"], layers["bronze"])
     with pytest.raises(ValueError, match="empty"):
         job.run_silver(spark, layers["bronze"], layers["silver"])
-    assert not Path(layers["silver"], "transactions").exists()
+    assert tables.current_version(spark, layers["silver"]) is None
 
 
 def test_missing_inputs_are_named(spark, layers):
@@ -141,16 +154,48 @@ def test_other_time_zones_are_refused(spark, layers):
 # Sources
 
 
-def test_digests_of_files_small_and_large(spark, tmp_path):
+def test_digests_of_files(spark, tmp_path):
     contents = {f"f{i}.bin": bytes([i]) * (1000 * i + 1) for i in range(5)}
+    (tmp_path / "a b").mkdir()
     for name, data in contents.items():
-        (tmp_path / name).write_bytes(data)
-    # files above the limit are hashed block by block; both ways give the plain SHA-256
-    files = provenance.list_files(spark, str(tmp_path)).withColumn("source", F.lit("x"))
-    got = rows(provenance.digests(files, whole_file_bytes=2000))
-    assert {(r["path"].rsplit("/", 1)[1], r["bytes"], r["sha256"]) for r in got} == {
-        (name, len(data), hashlib.sha256(data).hexdigest()) for name, data in contents.items()
+        (tmp_path / "a b" / name).write_bytes(data)
+    got = rows(provenance.digests(spark, str(tmp_path)))
+    assert {(r["bytes"], r["sha256"]) for r in got} == {
+        (len(data), hashlib.sha256(data).hexdigest()) for data in contents.values()
+    }
+    assert {r["file"] for r in got} == {f"a b/{name}" for name in contents}
+    inner = rows(provenance.digests(spark, str(tmp_path / "a b")))
+    assert {r["file"] for r in inner} == set(contents)
+
+
+def test_files_too_large_for_the_reader_are_named(spark, tmp_path):
+    (tmp_path / "large.bin").write_bytes(b"x" * 100)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "99")
+    try:
+        with pytest.raises(ValueError, match="above 99 bytes.*large.bin"):
+            provenance.manifest(spark, {"x": str(tmp_path)})
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_manifest_tells_subfolders_apart(spark, tmp_path):
+    def folder(name, first, second):
+        for part, data in (("k=a", first), ("k=b", second)):
+            (tmp_path / name / part).mkdir(parents=True)
+            (tmp_path / name / part / "data.bin").write_bytes(data)
+        return str(tmp_path / name)
+
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "data.bin").write_bytes(b"1")
+    sources = {
+        "here": folder("here", b"1", b"2"),
+        "swapped": folder("swapped", b"2", b"1"),
+        "folder": str(tmp_path / "one"),
+        "file": str(tmp_path / "one" / "data.bin"),
     }
+    got = {r["source"]: r["sha256"] for r in rows(provenance.manifest(spark, sources))}
+    assert len(set(got.values())) == 4
+    assert got["file"] == hashlib.sha256(b"1").hexdigest()
 
 
 def test_manifest_depends_on_names_and_contents(spark, tmp_path):
@@ -197,15 +242,60 @@ def test_one_row_json(spark, tmp_path):
     assert back == Decimal("12345678901234567890.12")
 
 
-def test_small_scans_are_spread(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(100).coalesce(1).write.parquet(path)
-    one = spark.read.parquet(path)
-    assert "REPARTITION" in str(
-        tables.spread_small_scan(one, "id")._jdf.queryExecution().executedPlan()
-    )
-    many = spark.range(0, 100, 1, 32)
-    assert tables.spread_small_scan(many, "id") is many
+def test_bronze_spreads_on_demand(spark, layers):
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    job.run_bronze(spark, layers["raw"], layers["bronze"], spread=3)
+    path = Path(tables.table_path(spark, layers["bronze"], "historical_transactions"))
+    assert len(list(path.glob("part-*.parquet"))) == 3
+
+
+def test_a_failed_bronze_keeps_the_last_version(spark, layers, monkeypatch):
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+
+    def broken(*_):
+        raise OSError("no digests today")
+
+    monkeypatch.setattr(job.provenance, "manifest", broken)
+    write_raw(spark, layers["raw"], GOOD[:9], MERCHANTS)
+    with pytest.raises(OSError, match="no digests"):
+        job.run_bronze(spark, layers["raw"], layers["bronze"])
+    assert published(spark, layers, "bronze", "historical_transactions").count() == 200
+
+
+def test_a_crash_between_tables_leaves_the_last_version(spark, layers):
+    """A driver that dies leaves a half-written version, which no reader looks at."""
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+    half = tables.new_version(layers["bronze"])
+    spark.range(3).write.parquet(f"{half}/historical_transactions")
+    assert published(spark, layers, "bronze", "historical_transactions").count() == 200
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+    kept = visible(f"{layers['bronze']}/_versions")
+    assert len(kept) == 2 and half.rsplit("/", 1)[1] not in kept
+
+
+def test_gold_scans_silver_three_times(spark, layers, monkeypatch):
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+    job.run_silver(spark, layers["bronze"], layers["silver"])
+    asked = []
+    for module, name in (
+        (summaries, "small_summary"), (summaries, "merchant_summary"), (quality, "warning_samples"),
+    ):
+        def once(attempts, original=getattr(module, name), name=name):
+            asked.append(name)
+            return original(attempts)
+
+        monkeypatch.setattr(module, name, once)
+
+    def never(*_):
+        raise AssertionError("Silver is not read again")
+
+    monkeypatch.setattr("tallyforge.operators.reconcile.reconcile", never)
+    assert job.run_gold(spark, layers["silver"], layers["gold"])["passed"]
+    assert sorted(asked) == ["merchant_summary", "small_summary", "warning_samples"]
 
 
 def test_counters_seen_twice_are_recounted(spark, layers, monkeypatch):
@@ -238,7 +328,7 @@ def test_a_lookup_that_multiplies_rows_is_refused(spark, layers, monkeypatch):
     monkeypatch.setattr(job.silver, "merchant_lookup", doubled)
     with pytest.raises(ValueError, match="changed the row count from 200"):
         job.run_silver(spark, layers["bronze"], layers["silver"])
-    assert not Path(layers["silver"], "transactions").exists()
+    assert tables.current_version(spark, layers["silver"]) is None
 
 
 def test_command_line(spark, layers, monkeypatch):
@@ -251,4 +341,4 @@ def test_command_line(spark, layers, monkeypatch):
             arguments += [f"--{name}-dir", path]
         monkeypatch.setattr("sys.argv", arguments)
         command.main()
-    assert spark.read.parquet(f"{layers['silver']}/transactions").count() == 200
+    assert published(spark, layers, "silver", "transactions").count() == 200

@@ -12,13 +12,18 @@ from pyspark.sql import functions as F
 from tests.helpers import final_plan, rows
 
 from tallyforge.operators.association import cramers_v
-from tallyforge.operators.dimension import attach, canonical_names, name_conflicts
+from tallyforge.operators.dimension import (
+    attach,
+    canonical_names,
+    conflicting_names,
+    name_conflicts,
+)
 from tallyforge.operators.interval import shortest_circular_interval
 from tallyforge.operators.measures import MEASURES, measures, measures_by_sets
 from tallyforge.operators.profit import expected_profit
 from tallyforge.operators.ranking import (
-    rank_all,
     rank_and_share,
+    rank_by_measure,
     rank_selected_in_group,
     top_k,
     top_k_per_group,
@@ -186,21 +191,33 @@ def test_top_k_needs_no_full_sort(spark):
 
 
 @pytest.mark.parametrize("parts", [1, 7])
-def test_rank_all_by_brute_force(spark, parts):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        got = rank_all(skewed(spark, parts=parts), order(), totals=["m"])
-        by_rank = sorted(rows(got), key=lambda r: r["rank"])
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    want = sorted(rows(skewed(spark)), key=order_key)
+def test_rank_by_measure_by_brute_force(spark, parts):
+    frame = skewed(spark, parts=parts).withColumn("m", F.col("m") * F.col("m") * 1000 - 20000)
+    ties = [F.asc_nulls_last("k"), F.asc("id")]
+    by_rank = sorted(rows(rank_by_measure(frame, "m", ties, total="whole")), key=lambda r: r["rank"])
+    want = sorted(rows(frame), key=order_key)
     assert [r["rank"] for r in by_rank] == list(range(1, len(want) + 1))
     assert [r["id"] for r in by_rank] == [r["id"] for r in want]
-    assert {r["m_total"] for r in by_rank} == {sum(r["m"] for r in want)}
+    assert {r["whole"] for r in by_rank} == {sum(r["m"] for r in want)}
 
 
-def test_rank_all_of_nothing(spark):
-    assert rows(rank_all(skewed(spark).filter("false"), order())) == []
+def test_ranks_beyond_measures(spark):
+    nothing = spark.createDataFrame([], "k string, m long")
+    assert rows(rank_by_measure(nothing, "m", [F.asc("k")])) == []
+    some = spark.createDataFrame([("a", None), ("b", -1), ("c", 0), ("d", None)], "k string, m long")
+    got = sorted((r["rank"], r["k"]) for r in rows(rank_by_measure(some, "m", [F.asc("k")])))
+    assert got == [(1, "c"), (2, "b"), (3, "a"), (4, "d")]
+    assert dict(rank_by_measure(some, "m", [F.asc("k")]).dtypes)["rank"] == "bigint"
+
+
+def test_ranking_runs_nothing_before_it_is_read(spark):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        rank_and_share(skewed(spark), "m", "k")
+        assert list(jobs.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_rank_and_share(spark):
@@ -222,12 +239,18 @@ def test_rank_of_selected_by_brute_force(spark, broadcast):
     }
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        got = rank_selected_in_group(frame, selected, "g", "m", "k", "place", splits=5)
+        got = rank_selected_in_group(frame, selected, "g", "m", "k", "place")
         assert {r["k"]: r["place"] for r in rows(got)} == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_too_many_selected_rows_are_refused(spark):
+    frame = skewed(spark).select("g", "k", "m").filter("k is not null")
+    with pytest.raises(Exception, match="more than 3 selected rows in group"):
+        rank_selected_in_group(frame, frame, "g", "m", "k", "place", most=3).collect()
+
+
 # Measures
 
 
@@ -260,7 +283,9 @@ def test_canonical_names_with_a_hot_key(spark):
     named = {r["k"]: (r["name"], r["name_ambiguous"])
              for r in rows(canonical_names(frame, "k", "name", "none"))}
     assert named == {"hot": ("One", False), "many": ("many", True)}
-    (conflict,) = rows(name_conflicts(frame, "k", "name"))
+    names = conflicting_names(frame, "k", "name")
+    assert {r["k"] for r in rows(names)} == {"many"}
+    (conflict,) = rows(name_conflicts(names, "k"))
     assert conflict["nonblank_names"] == ["n0", "n12", "n4", "n8"]
     assert conflict["distinct_name_count"] == 4
 
@@ -287,11 +312,11 @@ def test_large_lookup_joins_by_sort_merge_and_splits_hot_keys(spark, tmp_path):
     for key, value in changed.items():
         spark.conf.set(key, value)
     try:
-        merged = attach(spark.read.parquet(fact), lookup, "k", broadcast_bytes=0)
+        merged = attach(spark.read.parquet(fact), lookup.hint("merge"), "k")
         plan = final_plan(merged)
         assert "SortMergeJoin(skew=true)" in plan
         assert "BroadcastHashJoin" not in plan
-        want = attach(spark.read.parquet(fact), lookup, "k")
+        want = attach(spark.read.parquet(fact), lookup, "k", broadcast=True)
         assert "BroadcastHashJoin" in final_plan(want)
         assert merged.count() == 40000
         assert merged.exceptAll(want).isEmpty() and want.exceptAll(merged).isEmpty()

@@ -6,7 +6,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__
+from tallyforge.testbed import oracle, registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -40,23 +41,25 @@ def same(a, b):
 
 
 def test_names_agree():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"source_manifest"}
+    """The optional parts that the entry adds have tests of their own."""
+    assert set(registry.queries()) - set(oracle.oracle_sql()) == {"source_manifest"}
+    assert set(oracle.oracle_sql()) <= set(registry.queries()) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_matches_sql(spark, data, name):
     folder, connection = data
-    frame = entry.queries()[name](spark, folder)
+    frame = registry.queries()[name](spark, folder)
     columns = sorted(frame.columns)
-    expected = connection.sql(f"SELECT * FROM ({entry.oracle_sql()[name]})")
+    expected = connection.sql(f"SELECT * FROM ({oracle.oracle_sql()[name]})")
     assert sorted(expected.columns) == columns
     spark_types = dict(frame.dtypes)
     sql_types = dict(zip(expected.columns, (str(t) for t in expected.types)))
     assert {c: TYPES[spark_types[c]] for c in columns} == {c: sql_types[c] for c in columns}
     selection = ", ".join(f'"{c}"' for c in columns)
     want = sorted(
-        connection.sql(f"SELECT {selection} FROM ({entry.oracle_sql()[name]})").fetchall(),
+        connection.sql(f"SELECT {selection} FROM ({oracle.oracle_sql()[name]})").fetchall(),
         key=sortable,
     )
     got = sorted((tuple(r) for r in frame.select(*columns).collect()), key=sortable)

@@ -17,24 +17,24 @@ def stored(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-NAMES = [
-    "q1_top_merchants",
-    "q2_merchant_state",
-    "q3_category_hours",
-    "q4_popular_merchants",
-    "q4_city_category",
-    "q4_association",
-    "q5_overview",
-    "q5_hours",
-    "q5_opening_hours",
-    "q5_installments",
-]
+NAMES = [q.name for q in gold.QUESTIONS]
 
 
 @pytest.fixture(scope="module")
 def plans(stored):
-    frames = gold.gold_frames(summaries.summaries_of(stored))
-    return {name: final_plan(frames[name]) for name in NAMES}
+    by = summaries.summaries_of(stored)
+    return {q.name: final_plan(q.ask(by)) for q in gold.QUESTIONS}
+
+
+def test_questions_run_nothing_before_they_are_read(spark, stored):
+    by = summaries.summaries_of(stored)
+    spark.sparkContext.setJobGroup("asking", "")
+    try:
+        asked = [q.ask(by) for q in gold.QUESTIONS]
+        assert len(asked) == 13
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("asking")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -83,9 +83,8 @@ def rolled(spark, stored, tmp_path_factory):
     small, merchant = f"{folder}/small", f"{folder}/merchant"
     summaries.small_summary(stored).write.partitionBy("grouping_set").parquet(small)
     summaries.merchant_summary(stored).write.parquet(merchant)
-    return gold.gold_frames(
-        summaries.stored_summaries(spark.read.parquet(small), spark.read.parquet(merchant))
-    )
+    by = summaries.stored_summaries(spark.read.parquet(small), spark.read.parquet(merchant))
+    return {q.name: q.ask(by) for q in gold.QUESTIONS}
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -62,7 +62,10 @@ def test_metrics(spark):
             {"authorized_flag": None, "installments": None, "state_id": None},
         ],
     )
-    conflicts = spark.range(3)
+    conflicts = spark.createDataFrame(
+        [("a", "x"), ("a", "y"), ("b", "x"), ("b", "z"), ("c", "u"), ("c", "v")],
+        "merchant_id string, nonblank_name string",
+    )
     (got,) = rows(quality.quality_metrics(frame, conflicts))
     assert got == {
         "row_count": 6,
@@ -135,10 +138,15 @@ def test_views(spark):
     q4 = gold.q4_popular_merchants(by, k=2)
     ranks = [r["global_rank"] for r in rows(views.q4_ordered(q4))]
     assert ranks == sorted(ranks)
+    first = [r for r in rows(views.q4_ordered(q4)) if r["global_rank"] == 1]
+    by_position = sorted(first, key=lambda r: r["position"])
+    attempts_there = [r["city_attempt_count"] for r in by_position]
+    assert attempts_there == sorted(attempts_there, reverse=True)
     stack = rows(views.merchant_city_stack(q4))
     assert sum(r["attempts"] for r in stack) == 30
     plans = gold.q5_installments(by)
-    assert [r["plan_installments"] for r in rows(views.charted_plans(plans))] == [1, 2, 3]
+    assert [r["plan_installments"] for r in rows(views.charted_plans(plans, 12))] == [1, 2, 3]
+    assert [r["plan_installments"] for r in rows(views.charted_plans(plans, 2))] == [1, 2]
     (limit,) = rows(views.recommended_plan_limit(plans))
     assert limit == {"largest_positive_plan": 2, "smallest_negative_plan": 3}
     report = rows(views.installment_report(plans))
@@ -152,6 +160,18 @@ def test_views(spark):
     assert flags["attempt_count"] == 90
 
 
+def test_listing_shows_every_category(spark):
+    attempts = [
+        {"category": c, "purchase_date": datetime(2017, 3, 4, h), "purchase_amount": Decimal(h)}
+        for c in "PQRST" for h in (5, 9, 14, 22)
+    ]
+    by = summaries.summaries_of(silver_frame(spark, attempts))
+    listed = rows(views.q3_listing(gold.q3_category_hours(by)))
+    assert [(r["category"], r["rank"], r["hour"]) for r in listed] == [
+        (c, rank, hour) for c in "PQRST" for rank, hour in ((1, "2200"), (2, "1400"), (3, "0900"))
+    ]
+
+
 def test_report_marks_unknown_plans(spark):
     frame = silver_frame(spark, [{"installments": 999}])
     (row,) = rows(views.installment_report(gold.q5_installments(summaries.summaries_of(frame))))

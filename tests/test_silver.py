@@ -7,14 +7,16 @@ from tests.helpers import RAW_SCHEMA, raw_row, rows
 from tallyforge.functions import values as v
 from tallyforge.plans import silver
 
+# A plain merchant, one under two trade names, one without a name, one spelled with and without
+# blanks around, and a name that belongs to nobody.
 MERCHANTS = [
-    ("m1", "Known"),
-    ("ambiguous", "Alpha"),
-    ("ambiguous", "Beta"),
-    ("blank", " "),
-    ("spaced", "A"),
-    ("spaced", " A "),
-    (None, "Nobody"),
+    ("p7", "Papyrus"),
+    ("d1", "Harbour Deli"),
+    ("d1", "Deli & Sons"),
+    ("e4", "   "),
+    ("w2", "Wool"),
+    ("w2", "  Wool "),
+    (None, "Ghost"),
 ]
 
 
@@ -27,54 +29,43 @@ def attempts(spark, *changes):
     return spark.createDataFrame([raw_row(**c) for c in changes], RAW_SCHEMA)
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
-def test_every_row_is_kept_and_named(spark, merchants, broadcast_bytes):
+def test_every_row_is_kept_and_named(spark, merchants):
     source = attempts(
         spark,
-        {},
-        {"merchant_id": "missing", "category": None},
-        {"merchant_id": "ambiguous", "category": "  "},
+        {"merchant_id": "p7", "category": "C"},
+        {"merchant_id": "p7", "category": "C"},
+        {"merchant_id": "z9", "category": None},
+        {"merchant_id": "d1", "category": "   "},
         {"merchant_id": None, "category": "\t"},
-        {"merchant_id": "blank"},
-        {},
-    )
-    result = silver.to_silver(source, merchants, broadcast_bytes=broadcast_bytes)
-    got = sorted(
-        (
-            (r["merchant_id"], r["merchant_name"], r["merchant_name_ambiguous"],
-             r["merchant_lookup_matched"], r["category"])
-            for r in rows(result.transactions)
-        ),
-        key=str,
-    )
-    assert got == sorted(
-        [
-            ("m1", "Known", False, True, "A"),
-            ("m1", "Known", False, True, "A"),
-            ("missing", "missing", False, False, "Unknown category"),
-            ("ambiguous", "ambiguous", True, True, "Unknown category"),
-            (None, "Unknown merchant", False, False, "\t"),
-            ("blank", "blank", False, True, "A"),
-        ],
-        key=str,
+        {"merchant_id": "e4", "category": "B"},
+        {"merchant_id": "w2"},
     )
+    result = silver.to_silver(source, merchants)
+    want = {
+        "p7": ("Papyrus", False, True, "C"),
+        "z9": ("z9", False, False, "Unknown category"),
+        "d1": ("d1", True, True, "Unknown category"),
+        None: ("Unknown merchant", False, False, "\t"),
+        "e4": ("e4", False, True, "B"),
+        "w2": ("Wool", False, True, "A"),
+    }
+    got = rows(result.transactions)
+    assert len(got) == 7 and {r["merchant_id"] for r in got} == set(want)
+    names = ("merchant_name", "merchant_name_ambiguous", "merchant_lookup_matched", "category")
+    for r in got:
+        assert tuple(r[n] for n in names) == want[r["merchant_id"]]
     assert result.transactions.columns[0] == "merchant_id"
     assert dict(result.transactions.dtypes)["purchase_amount"] == "decimal(28,2)"
     assert dict(result.transactions.dtypes)["purchase_date"] == "timestamp"
 
 
 def test_lookup_and_conflicts(spark, merchants):
-    lookup = {r["merchant_id"]: r["merchant_name"] for r in rows(silver.merchant_lookup(merchants))}
-    assert lookup == {
-        "m1": "Known",
-        "ambiguous": "ambiguous",
-        "blank": "blank",
-        "spaced": "A",
-        None: "Unknown merchant",
+    named = {r["merchant_id"]: r["merchant_name"] for r in rows(silver.merchant_lookup(merchants))}
+    assert named == {
+        "p7": "Papyrus", "d1": "d1", "e4": "e4", "w2": "Wool", None: "Unknown merchant",
     }
-    assert rows(silver.merchant_conflicts(merchants)) == [
-        {"merchant_id": "ambiguous", "nonblank_names": ["Alpha", "Beta"], "distinct_name_count": 2}
-    ]
+    conflicts = sorted(tuple(r.values()) for r in rows(silver.merchant_conflicts(merchants)))
+    assert conflicts == [("d1", "Deli & Sons"), ("d1", "Harbour Deli")]
 
 
 @pytest.mark.parametrize(
