@@ -199,8 +199,8 @@ rates AS (
     (l + lm * lw) / (n + lw) AS lr
   FROM hosts, prior
 )
-SELECT doc_id, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
+SELECT doc_id, scored.source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
   base_failed, symbols_failed, lines_failed,
   NOT base_failed AND NOT (br > 0.5 OR (symbols_failed AND sr > 0.01) OR (lines_failed AND lr > 0.01)) AS kept
-FROM scored JOIN rates USING (source)
+FROM scored JOIN rates ON scored.source IS NOT DISTINCT FROM rates.source
 """
