@@ -7,11 +7,12 @@ is entered once for each symbol left out: all pairs within that distance share a
 pairs beyond it that still reach the similarity do.  At the similarity of 0.85 a link has more than
 23 differing symbols with probability 0.0005, and shares no entry at all with 0.0000003.
 
-Texts that share an entry are compared on their full shingle sets.  An entry may hold many texts, so
-they are first compared with one of them only (the pivot); texts joined that way need no comparison
-with each other.  Rounds with other pivots follow until few pairs of an entry lie in different
-groups, and these are all compared.  Thus no link inside an entry that would join two groups is lost,
-and a large group of copies costs as many comparisons as it has texts.
+Entries hold many texts, and a pair meets in many of them.  So entries are not turned into pairs: the texts
+that share entries, directly or through others, make a cluster (each entry links its texts with one
+of them, and components are found by contraction).  Clusters are packed into groups of about
+``BLOCK`` texts, where signatures within ``FARTHEST`` are compared on the full shingle sets, the nearest
+first, and pairs already connected are passed over.  A larger cluster is cut into blocks, and every
+two blocks meet in a group of their own.  Only links that connect leave a group, fewer than it has texts.
 """
 
 from __future__ import annotations
@@ -34,16 +35,18 @@ SYMBOLS = BANDS * WIDTH
 #: Percent of the union that the intersection must reach.
 PERCENT = 85
 
-#: Pairs left in different groups are all compared once there are at most so many times as many
-#: of them as there are entries; until then a round with new pivots shrinks them.
-PAIRS_PER_ENTRY = 2
-PIVOT_ROUNDS = 8
+#: Signatures that differ in more symbols are no link: at the similarity of 0.85 the mean is 12.6, and 30
+#: are exceeded with a probability of about 1e-7.
+FARTHEST = 30
+
+#: Texts in a block.
+BLOCK = 1024
 
 _DRAW = np.random.default_rng(6).integers(0, 2**64, (3, SYMBOLS), np.uint64)
 _FLIP, _TIMES, _WEIGHT = _DRAW[0], _DRAW[1] | np.uint64(1), _DRAW[2] | np.uint64(1)
 
 SKETCH_TYPE = "doc_id long, text_key long, n_shingles long, node long, symbols binary"
-SET_TYPE = "node long, shingles array<long>"
+SET_TYPE = "node long, symbols binary, shingles array<long>"
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -95,7 +98,6 @@ def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 {
                     "key": keys.reshape(-1).view(np.int64),
                     "node": np.repeat(part["node"].to_numpy(), SYMBOLS),
-                    "n": np.repeat(part["n_shingles"].to_numpy(), SYMBOLS),
                 }
             )
 
@@ -106,7 +108,7 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for at in range(0, len(batch), 256):
             part = batch.iloc[at : at + 256]
             sets = [shingle_set(x, memo).view(np.int64) for x in part["text"]]
-            yield pd.DataFrame({"node": part["node"], "shingles": sets})
+            yield pd.DataFrame({"node": part["node"], "symbols": part["symbols"], "shingles": sets})
 
 
 def with_text_key(documents: DataFrame) -> DataFrame:
@@ -114,62 +116,66 @@ def with_text_key(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach ``percent`` of their union."""
-    first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    both = pairs.join(first, "a").join(second, "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    return both.filter(100 * common >= percent * union).select("a", "b")
-
-
-def _grouped(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Entries with the group of each node; those that lie in one group altogether are left out."""
-    if labels is None:
-        return entries.withColumn("label", F.col("node"))
-    marked = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    marked = stage(marked.select("key", "node", "n", "label"), "marked")
-    open_keys = marked.groupBy("key").agg(
-        F.min("label").alias("least"), F.max("label").alias("most")
-    ).filter("least < most")
-    return stage(marked.join(open_keys.select("key"), "key", "left_semi"), "open")
-
-
-def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a < b) whose set sizes allow the similarity."""
-    fits = 100 * F.least("n", "n_p") >= percent * F.greatest("n", "n_p")
-    return pairs.filter(fits).select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-    ).distinct()
-
-
-def _pivot_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
-    pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "label"))
-    pivots = entries.groupBy("key").agg(pivot.alias("p")).select(
-        "key",
-        F.col("p.node").alias("pivot"),
-        F.col("p.n").alias("n_p"),
-        F.col("p.label").alias("label_p"),
-    )
-    return _ordered(entries.join(pivots, "key").filter("label <> label_p"), percent)
+def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Differing symbols of every signature on the left with every one on the right."""
+    total = np.zeros((len(left), len(right)), np.uint8)
+    for k in range(SYMBOLS):
+        total += left[:, k, None] != right[None, :, k]
+    return total
 
 
-def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of an entry in different groups: the texts outside its largest group with all others."""
-    counts = entries.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    main = counts.groupBy("key").agg(F.max(F.struct("c", "label"))["label"].alias("main"))
-    minor = entries.join(main, "key").filter("label <> main").select(
-        "key", F.col("node").alias("pivot"), F.col("n").alias("n_p"), F.col("label").alias("label_p")
-    )
-    return _ordered(entries.join(minor, "key").filter("label <> label_p"), percent)
+def reaches(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether the sorted sets share ``percent`` of their union."""
+    if len(a) > len(b):
+        a, b = b, a
+    if 100 * len(a) < percent * len(b):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
 
+def connect(
+    symbols: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Links that connect the texts as all links would; none between texts of the same ``side`` > 0.
 
-def _crossing(entries: DataFrame) -> int:
-    """Number of pairs that ``_all_pairs`` would meet, an upper bound."""
-    counts = entries.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    by_key = counts.groupBy("key").agg(F.sum("c").alias("n"), F.max("c").alias("most"))
-    return by_key.agg(F.sum((F.col("n") - F.col("most")) * F.col("n"))).first()[0] or 0
+    Candidates are verified by increasing distance; before each part those whose texts are
+    connected by now are dropped.
+    """
+    here = np.arange(len(sets))
+    rows, columns = (here, here) if not side.any() else (here[side == 1], here[side == 2])
+    far = distances(symbols[rows], symbols[columns])
+    i, j = np.nonzero(far <= FARTHEST)
+    order = np.argsort(far[i, j], kind="stable")
+    a, b = rows[i[order]], columns[j[order]]
+    if not side.any():
+        a, b = a[a < b], b[a < b]
+    label, links, step = here.copy(), [], 64
+    while len(a):
+        for x, y in zip(a[:step].tolist(), b[:step].tolist()):
+            if label[x] != label[y] and reaches(sets[x], sets[y], percent):
+                links.append((x, y))
+                label[label == label[y]] = label[x]
+        a, b = a[step:], b[step:]
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+        step = min(2 * step, 8192)
+    return links
+
+
+def _connector(percent: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, own in rows.groupby("cluster", sort=False):
+            node = own["node"].to_numpy()
+            symbols = np.frombuffer(b"".join(own["symbols"]), np.uint16).reshape(-1, SYMBOLS)
+            sets = [x.view(np.uint64) for x in own["shingles"]]
+            links = connect(symbols, sets, own["side"].to_numpy(), percent)
+            out += [(node[x], node[y]) for x, y in links]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
 
 
 def groups(nodes: DataFrame, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -177,41 +183,49 @@ def groups(nodes: DataFrame, documents: DataFrame, percent: int = PERCENT) -> Da
 
     ``nodes``: one row for each distinct shingle set, with its signature and one of its documents.
     """
-    found = nodes.select("node", "n_shingles", "symbols").mapInPandas(
-        _entries, "key long, node long, n long"
-    )
+    found = nodes.select("node", "symbols").mapInPandas(_entries, "key long, node long")
     shared = found.groupBy("key").count().filter("count > 1").select("key")
-    entries = stage(found.join(shared, "key", "left_semi"), "entries")
-    total = entries.count()
+    met = stage(found.join(shared, "key", "left_semi"), "met")
+    first = met.groupBy("key").agg(F.min("node").alias("b"))
+    star = met.join(first, "key").select(F.col("node").alias("a"), "b")
+    clusters = components(star)
 
-    wanted = stage(
-        entries.select("node").distinct().join(nodes, "node").select("node", "doc_id", "text_key"),
-        "wanted",
+    # Which groups a text goes to: its cluster's, or one for each block its block has to meet.
+    sizes = clusters.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = stage(
+        clusters.join(sizes, "label").select(
+            "node", F.col("label").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("own")
+        ),
+        "clusters",
+    )
+    packs = -(-placed.count() // BLOCK)
+    meets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    alone = F.col("blocks") == 1
+    routed = stage(
+        placed.withColumn("other", meets).select(
+            "node",
+            "cluster",
+            F.when(alone, F.pmod(F.xxhash64("cluster"), F.lit(max(packs, 1)))).otherwise(F.col("cluster")).alias("pack"),
+            F.when(alone, -1).otherwise(F.least("own", "other")).alias("low"),
+            F.when(alone, -1).otherwise(F.greatest("own", "other")).alias("high"),
+            F.when(F.col("own") < F.col("other"), 1).when(F.col("own") > F.col("other"), 2).otherwise(0).alias("side"),
+        ),
+        "routed",
     )
+
+    chosen = nodes.join(placed.select("node"), "node", "left_semi")
+    wanted = stage(chosen.select("node", "symbols", "doc_id", "text_key"), "wanted")
     keyed = with_text_key(documents)
-    texts = keyed.join(small(wanted), same(keyed, wanted, ["doc_id", "text_key"])).select("node", "text")
+    texts = keyed.join(small(wanted), same(keyed, wanted, ["doc_id", "text_key"])).select(
+        "node", "symbols", "text"
+    )
     sets = stage(texts.mapInPandas(_sets, SET_TYPE), "sets")
-    if sets.select("node").distinct().count() < sets.select("node").count():
+    if sets.count() > wanted.count():
         sets = stage(sets.dropDuplicates(["node"]), "sets")  # rows repeated with id and text
 
-    links, labels, tried = None, None, None
-    for turn in range(PIVOT_ROUNDS + 1):
-        left = _grouped(entries, labels)
-        crossing = _crossing(left) if turn else 0
-        if turn and not crossing:
-            break
-        last = turn > 0 and crossing <= PAIRS_PER_ENTRY * total or turn == PIVOT_ROUNDS
-        pairs = _all_pairs(left, percent) if last else _pivot_pairs(left, turn, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        new = stage(linked(pairs, sets, percent), "links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        labels = components(links)
-        if last:
-            break
-    return labels
+    meeting = sets.join(small(routed), "node").groupBy("pack", "low", "high")
+    links = stage(meeting.applyInPandas(_connector(percent), "a long, b long"), "links")
+    return components(links)
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
