@@ -37,7 +37,7 @@ GRAM = 2**_LEVELS
 _PIECE = 2**22
 
 #: Bytes of snippets in a shard, and digests in a range of the merge.
-SHARD_BYTES = 2_000_000
+SHARD_BYTES = 400_000
 RANGE_ROWS = 200_000
 
 _DRAW = np.random.default_rng(2).integers(0, 2**64, 256 + _LEVELS, np.uint64) | np.uint64(1)
@@ -162,7 +162,8 @@ def shard_repeats(rows: pd.DataFrame) -> pd.DataFrame:
             high, low = np.frombuffer(digest, np.int64).tolist()
             at = int(p - begin[i]) if times[class_of[p]] == 1 else None
             out.append((anchor, snippet, at, at, shard, high, low))
-    table = pd.DataFrame(out, columns=[x.split()[0] for x in REPEAT_TYPE.split(", ")])
+    # As objects first: numbers beside nulls would else become floats and lose digits.
+    table = pd.DataFrame(out, columns=[x.split()[0] for x in REPEAT_TYPE.split(", ")], dtype=object)
     return table.astype(
         {"first": "Int32", "last": "Int32", "high": "Int64", "low": "Int64", "anchor": "int64", "snippet": "int64", "shard": "int64"}
     )
