@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyforge.llm import decontamination, mixing, near_duplicates, quality_rules, sharding
 from tallyforge.llm.common import stage
 
+#: Percent of the union that near copies share; op6_minhash has a limit of its own.
+NEAR = 80
+
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or their host's verdict reject go."""
@@ -18,8 +21,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return near_duplicates.one_of_each(docs)
+    """One document of each group of near copies, of similarity 0.8 or more, stays."""
+    return near_duplicates.one_of_each(docs, percent=NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,16 +1,18 @@
 """Near-duplicate groups by MinHash signatures and a multi-index Hamming join.
 
 A text's signature has ``SYMBOLS`` symbols of 16 bits, each from the smallest of the permuted hashes
-of its shingles.  It is cut into ``BANDS`` chunks of ``WIDTH`` symbols.  Two signatures that differ
-in fewer than 2 * BANDS symbols differ in at most one symbol of some chunk (pigeonhole), so each chunk
-is entered once for each symbol left out: all pairs within that distance share an entry, and most
-pairs beyond it that still reach the similarity do.  At the similarity of 0.85 a link has more than
-23 differing symbols with probability 0.0005, and shares no entry at all with 0.0000003.
+of its shingles.  It is cut into chunks of like width (``layout``).  Two signatures that differ in fewer
+than twice as many symbols as there are chunks differ in at most one symbol of some chunk (pigeonhole), so
+each chunk is entered once for each symbol left out: all pairs within that distance share an entry, and
+most pairs beyond it that still reach the similarity do.  The wanted similarity decides on the chunks and on the
+distance up to which signatures are compared: a link at that similarity is lost by either cut with a
+probability of at most ``MISS``.  At 0.85 these are 12 chunks (2.7e-7) and 30 symbols (6.9e-7), at 0.80
+14 chunks (3.3e-7) and 36 symbols (5.1e-7).
 
 Entries hold many texts, and a pair meets in many of them.  So entries are not turned into pairs: the texts
 that share entries, directly or through others, make a cluster (each entry links its texts with one
 of them, and components are found by contraction).  Clusters are packed into groups of about
-``BLOCK`` texts, where signatures within ``FARTHEST`` are compared on the full shingle sets, the nearest
+``BLOCK`` texts, where signatures within that distance are compared on the full shingle sets, the nearest
 first, and pairs already connected are passed over.  A larger cluster is cut into blocks, and every
 two blocks meet in a group of their own.  Only links that connect leave a group, fewer than it has texts.
 """
@@ -18,6 +20,7 @@ two blocks meet in a group of their own.  Only links that connect leave a group,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -29,19 +32,39 @@ from .common import same, small, stage
 from .components import components
 from .shingles import WordHashes, mixed, shingle_set
 
-BANDS, WIDTH = 12, 7
-SYMBOLS = BANDS * WIDTH
+SYMBOLS = 84
 
 #: Percent of the union that the intersection must reach.
 PERCENT = 85
 
-#: Signatures that differ in more symbols are no link: at the similarity of 0.85 the mean is 12.6, and 30
-#: are exceeded with a probability of about 1e-7.
-FARTHEST = 30
+#: The most probable loss of a link of just that similarity, by each of the two cuts.
+MISS = 7e-7
 
 #: Texts in a block.
 BLOCK = 1024
 
+
+def layout(percent: int) -> tuple[int, int]:
+    """Chunks of a signature, and the symbols that a link of ``percent`` may differ in.
+
+    The fewest chunks and symbols that lose a link of just that similarity with at most ``MISS`` each.
+    """
+    alike = percent / 100
+    lost = lambda bands, w: (1 - alike**w - w * alike ** (w - 1) * (1 - alike)) ** bands
+    chunks = (n for n in range(1, SYMBOLS + 1) if SYMBOLS % n == 0)
+    bands = next((n for n in chunks if lost(n, SYMBOLS // n) <= MISS), SYMBOLS)
+    beyond, farthest = 0.0, SYMBOLS
+    while farthest:
+        beyond += comb(SYMBOLS, farthest) * (1 - alike) ** farthest * alike ** (SYMBOLS - farthest)
+        if beyond > MISS:
+            break
+        farthest -= 1
+    return bands, farthest
+
+
+#: Chunks at ``PERCENT``.
+BANDS = layout(PERCENT)[0]
+
 _DRAW = np.random.default_rng(6).integers(0, 2**64, (3, SYMBOLS), np.uint64)
 _FLIP, _TIMES, _WEIGHT = _DRAW[0], _DRAW[1] | np.uint64(1), _DRAW[2] | np.uint64(1)
 
@@ -85,13 +108,13 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    place = np.arange(SYMBOLS, dtype=np.uint64).reshape(BANDS, WIDTH)
+def _entries(batches: Iterator[pd.DataFrame], bands: int = BANDS) -> Iterator[pd.DataFrame]:
+    place = np.arange(SYMBOLS, dtype=np.uint64).reshape(bands, -1)
     for batch in batches:
         for at in range(0, len(batch), 2048):
             part = batch.iloc[at : at + 2048]
             symbols = np.frombuffer(b"".join(part["symbols"]), np.uint16).reshape(-1, SYMBOLS)
-            terms = (symbols.astype(np.uint64) * _WEIGHT).reshape(-1, BANDS, WIDTH)
+            terms = (symbols.astype(np.uint64) * _WEIGHT).reshape(-1, *place.shape)
             rest = terms.sum(axis=2, dtype=np.uint64)[:, :, None] - terms
             keys = mixed(rest ^ mixed(place + np.uint64(1)))
             yield pd.DataFrame(
@@ -146,7 +169,7 @@ def connect(
     here = np.arange(len(sets))
     rows, columns = (here, here) if not side.any() else (here[side == 1], here[side == 2])
     far = distances(symbols[rows], symbols[columns])
-    i, j = np.nonzero(far <= FARTHEST)
+    i, j = np.nonzero(far <= layout(percent)[1])
     order = np.argsort(far[i, j], kind="stable")
     a, b = rows[i[order]], columns[j[order]]
     if not side.any():
@@ -183,7 +206,10 @@ def groups(nodes: DataFrame, documents: DataFrame, percent: int = PERCENT) -> Da
 
     ``nodes``: one row for each distinct shingle set, with its signature and one of its documents.
     """
-    found = nodes.select("node", "symbols").mapInPandas(_entries, "key long, node long")
+    bands, _ = layout(percent)
+    found = nodes.select("node", "symbols").mapInPandas(
+        lambda batches: _entries(batches, bands), "key long, node long"
+    )
     shared = found.groupBy("key").count().filter("count > 1").select("key")
     met = stage(found.join(shared, "key", "left_semi"), "met")
     first = met.groupBy("key").agg(F.min("node").alias("b"))

@@ -1,13 +1,15 @@
 """The pipeline against a plain version, stage by stage, and its handling of odd tables."""
 
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from tests.llm import brute
 from tests.llm.conftest import CLASHING
 
 import corpus_pipeline
-from tallyforge.llm import decontamination, mixing, quality_rules, registry
+from tallyforge.llm import decontamination, mixing, near_duplicates, quality_rules, registry
 from tallyforge.llm.common import stage
 
 FOLDER = "/root/testdata/sf0.001"
@@ -54,6 +56,34 @@ def test_stages_by_plain_means(spark):
     )
 
 
+def test_copies_of_four_fifths_go(spark):
+    """Pairs with similarities on both sides of 0.80 and 0.85, as brute force groups them at 80 percent."""
+    chance = random.Random(80)
+    documents = []
+    for i in range(60):
+        words = [f"w{chance.randrange(10**6)}" for _ in range(200)]
+        documents.append((2 * i, " ".join(words)))
+        for place in chance.sample(range(10, 190, 10), 2 + i % 6):
+            words[place] = "changed"
+        documents.append((2 * i + 1, " ".join(words)))
+    kept = {p: sorted(r[0] for r in brute.near_duplicates(documents, p) if r[3]) for p in (80, 85)}
+    assert 60 < len(kept[80]) < len(kept[85]) < 120
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    step = dict(corpus_pipeline.STAGES)["near duplicates"]
+    assert sorted(r["doc_id"] for r in step(spark, frame, FOLDER).collect()) == kept[80]
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_links_are_lost_by_the_stated_chance(percent):
+    """Signatures with symbols that differ independently, as those of sets on the limit do."""
+    size, near = near_duplicates.SYMBOLS, percent / 100
+    bands, farthest = near_duplicates.layout(percent)
+    away = np.random.default_rng(percent).random((200_000, size)) >= near
+    met = (away.reshape(len(away), bands, -1).sum(axis=2) <= 1).any(axis=1)
+    assert met.all() and (away.sum(axis=1) <= farthest).all()
+    assert near_duplicates.layout(85) == (12, 30) and near_duplicates.layout(80) == (14, 36)
+
+
 @pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
 def test_odd_tables_pass_each_stage(spark, odd, clashing, name):
     step = dict(corpus_pipeline.STAGES)[name]
