@@ -32,14 +32,11 @@ def top_k(frame: DataFrame, order: Sequence[Column], k: int, rank: str = "rank")
     return leaders.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
 
 
-def _bucket(measure: str) -> Column:
-    """A whole number that never falls as the measure rises: about a dozen per doubling.
-
-    The exponents of a double allow some 17,000 at most, whatever the number of rows.
-    """
-    value = F.col(measure).cast("double")
-    size = F.floor(F.log1p(F.abs(value)) * 12)
-    return F.when(value < 0, -size).otherwise(size)
+def _ranges(frame: DataFrame) -> int:
+    """Ranges of a whole order: two for each shuffle partition, so that their hashes fill tasks more evenly,
+    but one where that makes over 1,024, as every range tells its size to all later ones."""
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(2 * partitions, max(partitions, 1024))
 
 
 def rank_by_measure(
@@ -47,33 +44,48 @@ def rank_by_measure(
 ) -> DataFrame:
     """Rank every row by ``measure`` descending, nulls last, then by ``ties``.
 
-    Rows are numbered inside buckets of similar measures, and the sizes of the buckets with larger
-    measures are added, so that the rows never meet in one task and nothing runs before the result is
-    asked for.  The bucket sizes are a small table by construction, which is broadcast.  ``frame`` is read
-    twice; an aggregate is computed once, as Spark reuses its shuffle.  ``total`` names a column for
-    the sum of the measure over all rows.
+    Rows are dealt out in ranges of the whole order, ties included, by Spark's own sample of the rows, and
+    numbered inside their range.  The first row of each range sends the range's size to all later ones, where
+    the sizes are added up.  So neither equal measures nor ones that lie close together meet in one task,
+    and nothing runs before the result is asked for.  There is one exchange by range in the plan, so that all numbers
+    rest on the same ranges.  ``total`` names a column for the sum of the measure over all rows.
     """
-    marked = frame.withColumn("_bucket", _bucket(measure))
-    # A zero that depends on every column: both uses of the frame read the same columns, so that
-    # they are the same plan to Spark.
-    nothing = F.sum(F.pmod(F.xxhash64(*frame.columns), F.lit(1)))
-    sizes = marked.groupBy("_bucket").agg(
-        (F.count(F.lit(1)) + nothing).alias("_size"), F.sum(measure).alias("_sum")
+    order = [F.desc_nulls_last(measure), *ties]
+    ranges = _ranges(frame)
+    ranged = frame.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    inside = Window.partitionBy("_range")
+    counted = ranged.withColumns(
+        {
+            "_at": F.row_number().over(inside.orderBy(*order)),
+            "_size": F.count(F.lit(1)).over(inside),
+            "_sum": F.sum(measure).over(inside),
+        }
     )
-    earlier = Window.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = sizes.select(
-        F.col("_bucket").alias("_of"),
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_sum").over(everything).alias("_total"),
+
+    def note(to: Column, size: Column, part: Column, own: bool) -> Column:
+        return F.struct(
+            to.alias("to"), size.cast("long").alias("size"), part.alias("sum"), F.lit(own).alias("own")
+        )
+
+    none = F.lit(None).cast(counted.schema["_sum"].dataType)
+    itself = F.array(note(F.col("_range"), F.lit(0), none, True))
+    notes = F.transform(
+        F.sequence(F.lit(0), F.lit(ranges - 1)),
+        lambda to: note(to, F.when(to > F.col("_range"), F.col("_size")).otherwise(0), F.col("_sum"), False),
     )
-    inside = Window.partitionBy("_bucket").orderBy(F.desc_nulls_last(measure), *ties)
-    placed = marked.join(
-        F.broadcast(offsets), F.col("_bucket").eqNullSafe(F.col("_of"))
-    ).withColumn(rank, F.row_number().over(inside) + F.col("_offset"))
+    if not total:
+        notes = F.filter(notes, lambda x: x["to"] > F.col("_range"))
+    sent = counted.withColumn(
+        "_note", F.explode(F.when(F.col("_at") == 1, F.concat(itself, notes)).otherwise(itself))
+    ).withColumn("_to", F.col("_note.to"))
+    there = Window.partitionBy("_to")
+    placed = sent.withColumn("_before", F.sum("_note.size").over(there))
+    if total:
+        placed = placed.withColumn("_total", F.sum("_note.sum").over(there))
+    placed = placed.filter("_note.own").withColumn(rank, F.col("_at") + F.col("_before"))
     if total:
         placed = placed.withColumn(total, F.col("_total"))
-    return placed.drop("_bucket", "_of", "_offset", "_total")
+    return placed.drop("_range", "_at", "_size", "_sum", "_note", "_to", "_before", "_total")
 
 
 def rank_small(frame: DataFrame, order: Sequence[Column], rank: str = "rank") -> DataFrame:

@@ -210,6 +210,20 @@ def test_ranks_beyond_measures(spark):
     assert dict(rank_by_measure(some, "m", [F.asc("k")]).dtypes)["rank"] == "bigint"
 
 
+@pytest.mark.parametrize("measure", ["1000", "1000 + id / 1e6", "null"])
+def test_ranks_of_like_measures_are_spread(spark, measure):
+    """Equal measures, close ones and nulls: no task has the bulk of the rows, and ranks are right."""
+    frame = spark.range(4000).selectExpr("id", f"cast({measure} as double) m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = rank_by_measure(frame, "m", [F.desc("id")]).withColumn("task", F.spark_partition_id())
+        found = rows(ranked)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(Counter(r["task"] for r in found).values()) < 2000
+    assert sorted((r["rank"], r["id"]) for r in found) == [(i + 1, 3999 - i) for i in range(4000)]
+
+
 def test_ranking_runs_nothing_before_it_is_read(spark):
     jobs = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "")
