@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontamination,
+    filter_audit,
     line_dedup,
     mixing,
     near_duplicates,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op8_pitman_yor": pitman_yor.op8_pitman_yor,
         "op9_quality_classifier": weak_labels.op9_quality_classifier,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op13_filter_audit": filter_audit.op13_filter_audit,
     }
 
 
@@ -45,4 +47,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_sharding": sharding.SQL,
         "op7_tool_calls": tool_calls.SQL,
         "op10_quality_rules": quality_rules.SQL,
+        "op13_filter_audit": filter_audit.SQL,
     }

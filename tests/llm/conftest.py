@@ -79,8 +79,25 @@ def odd_conversations():
     ]
 
 
-def write(spark, folder, documents, benchmark, conversations):
+def odd_labels():
+    """Several rows for an id, nulls, ids that no document has."""
+    return [
+        (10, 1, 0),
+        (10, 0, None),
+        (11, 0, 1),
+        (11, 0, 0),
+        (17, 1, 1),
+        (20, None, None),
+        (26, 1, 1),
+        (-5, 1, 0),
+        (99, 1, 1),
+        (None, 1, 1),
+    ]
+
+
+def write(spark, folder, documents, benchmark, conversations, labels):
     for name, rows, schema in (
+        ("labels", labels, "doc_id long, quality long, toxic long"),
         ("documents", documents, DOCUMENTS),
         ("benchmark", benchmark, "item_id long, text string"),
         ("conversations", conversations, "conv_id long, turn long, role string, text string"),
@@ -92,12 +109,12 @@ def write(spark, folder, documents, benchmark, conversations):
 @pytest.fixture(scope="session")
 def odd(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("odd")
-    return write(spark, folder, odd_documents(), odd_benchmark(), odd_conversations())
+    return write(spark, folder, odd_documents(), odd_benchmark(), odd_conversations(), odd_labels())
 
 
 @pytest.fixture(scope="session")
 def empty(spark, tmp_path_factory):
-    return write(spark, tmp_path_factory.mktemp("empty"), [], [], [])
+    return write(spark, tmp_path_factory.mktemp("empty"), [], [], [], [])
 
 
 @pytest.fixture(scope="session")

@@ -39,13 +39,13 @@ def in_order(rows):
 
 def test_every_query_has_a_reference():
     assert set(registry.queries()) == set(registry.oracle_sql()) | EXACT
-    assert len(registry.queries()) == 10
+    assert len(registry.queries()) == 11
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_matches_sql(spark, folder, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "labels"):
         path = Path(folder, f"{table}.parquet")
         files = path if path.is_file() else path / "*.parquet"
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
