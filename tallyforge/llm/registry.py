@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     decontamination,
     filter_audit,
+    license_scan,
     line_dedup,
     mixing,
     near_duplicates,
     pitman_yor,
     quality_rules,
     sharding,
+    spelling_variants,
     suffix_dedup,
     tool_calls,
     weak_labels,
@@ -35,6 +37,8 @@ def queries() -> dict[str, Query]:
         "op8_pitman_yor": pitman_yor.op8_pitman_yor,
         "op9_quality_classifier": weak_labels.op9_quality_classifier,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_spelling_variants": spelling_variants.op11_spelling_variants,
+        "op12_license_scan": license_scan.op12_license_scan,
         "op13_filter_audit": filter_audit.op13_filter_audit,
     }
 
@@ -47,5 +51,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_sharding": sharding.SQL,
         "op7_tool_calls": tool_calls.SQL,
         "op10_quality_rules": quality_rules.SQL,
+        "op11_spelling_variants": spelling_variants.SQL,
+        "op12_license_scan": license_scan.SQL,
         "op13_filter_audit": filter_audit.SQL,
     }
