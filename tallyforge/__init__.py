@@ -1 +1,10 @@
-"""Transaction-attempt analytics expressed as Spark DataFrame plans."""
+"""Spark-first analytics over card-transaction attempts.
+
+Functions that run in Python workers travel with the job, so that executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.values import blank
@@ -68,11 +68,32 @@ def text_bytes(frame: DataFrame) -> int:
     return frame.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")).first()[0]
 
 
-def attach(fact: DataFrame, lookup: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
+def require_one_row(lookup: DataFrame, key: str) -> DataFrame:
+    """``lookup``, in which a key that stands in several rows ends whatever reads it.
+
+    The check is part of the key, so that no plan can leave it out, and it rests on the partitions
+    that a merge join by the key needs anyway.  Null keys meet nothing and may repeat.
+    """
+    several = F.count(F.lit(1)).over(Window.partitionBy(key)) > 1
+    text = F.concat(F.lit(f"lookup has more than one row for {key} "), F.col(key).cast("string"))
+    kind = lookup.schema[key].dataType
+    checked = F.when(several & F.col(key).isNotNull(), F.raise_error(text).cast(kind)).otherwise(F.col(key))
+    return lookup.withColumn("_checked", checked).withColumn(key, F.col("_checked")).drop("_checked")
+
+
+def attach(
+    fact: DataFrame, lookup: DataFrame, key: str, broadcast: bool = False, proven: bool = False
+) -> DataFrame:
     """Left join of a large fact to a lookup that has one row per key; null keys stay unmatched.
 
+    That it has is checked while the join runs, without another pass over the fact: a lookup with a
+    double key fails instead of multiplying rows.  ``proven`` leaves the check out, for a lookup
+    that an aggregate by the key makes in the same plan: Spark knows of such that it has one row, and
+    drops the whole join where none of its columns is wanted.
+
     ``broadcast`` is for callers that have measured the lookup (``text_bytes``).  Otherwise Spark
     decides by its own threshold, and where it merges, both sides are plain shuffles, which is
     what adaptive execution needs to split the partition of a key that holds much of the fact.
     """
-    return fact.join(F.broadcast(lookup) if broadcast else lookup, key, "left")
+    checked = lookup if proven else require_one_row(lookup, key)
+    return fact.join(F.broadcast(checked) if broadcast else checked, key, "left")

@@ -2,15 +2,14 @@
 
 Each stage can run on its own from the published version of the stage before.  Tables are refreshed in
 full.  A stage writes a new version of its layer, checks what it wrote, and only then makes it the
-current one (see ``tables``), so a failure at any point leaves the last good version readable as a
-whole.  The caller owns the session, which must use UTC.
+current one (see ``versions``), so a failure at any point leaves the last good version readable as a
+whole, and runs that overlap do each other no harm.  The caller owns the session, which must use UTC.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -22,7 +21,8 @@ from tallyforge.operators.dimension import BROADCAST_BYTES, text_bytes
 from tallyforge.operators.reconcile import reconcile_counts, require_reconciled
 from tallyforge.plans import gold as questions
 from tallyforge.plans import quality, silver, summaries
-from tallyforge.sources import provenance, tables
+from tallyforge.sources import provenance, quarantine, tables, versions
+from tallyforge.sources.scoped import persisted
 
 # Business tables are independent small jobs; a few at a time keep the cluster busy.
 CONCURRENT_WRITES = 4
@@ -44,18 +44,6 @@ def _require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
-@contextmanager
-def _version(spark: SparkSession, layer: str) -> Iterator[str]:
-    """A new version's folder, published if the block ends well and discarded if not."""
-    folder = tables.new_version(layer)
-    try:
-        yield folder
-        tables.publish_version(spark, layer, folder)
-    except BaseException:
-        tables.discard(spark, folder)
-        raise
-
-
 def run_bronze(
     spark: SparkSession,
     raw_dir: str,
@@ -63,34 +51,84 @@ def run_bronze(
     transactions_file: str = "historical_transactions.parquet",
     merchants_file: str = "merchants.csv",
     spread: int | None = None,
+    most_rejected: int | None = None,
 ) -> None:
     """Copy both sources with load metadata and record their digests.
 
     ``spread`` deals the transactions over so many files, which is for a raw file that Spark cannot
     split; otherwise the session's settings for files decide.
+
+    Lines of the merchants' file that do not fit its header are not loaded but published beside it, as
+    ``rejected_merchants`` with file, line and reason; more than ``most_rejected`` end the stage.
     """
     transactions = f"{raw_dir}/{transactions_file}"
     merchants = f"{raw_dir}/{merchants_file}"
     tables.require_paths(spark, [transactions, merchants], "Bronze")
     loaded_at = _now()
-    with _version(spark, bronze_dir) as folder:
-        for name, frame in (
-            ("historical_transactions", tables.read_parquet(spark, transactions)),
-            ("merchants", tables.read_csv(spark, merchants)),
-        ):
-            described = tables.with_load_metadata(frame, "bronze", loaded_at, source_file=True)
-            if spread and name == "historical_transactions":
-                described = described.repartition(spread)
-            path = f"{folder}/{name}"
-            tables.write_parquet(described, path)
-            read, written = frame.count(), tables.read_parquet(spark, path).count()
-            if read != written:
-                raise ValueError(f"{name}: {read} rows read, {written} written")
+    with versions.new_version(spark, bronze_dir) as folder:
+        read = tables.read_parquet(spark, transactions)
+        described = tables.with_load_metadata(read, "bronze", loaded_at, source_file=True)
+        _write_all(
+            spark,
+            described.repartition(spread) if spread else described,
+            f"{folder}/historical_transactions",
+            read.count,  # from file footers
+        )
+        schema = quarantine.text_schema(spark, merchants)
+        _load_checked(
+            spark,
+            quarantine.read_flagged_csv(spark, merchants, schema),
+            f"{folder}/merchants",
+            f"{folder}/rejected_merchants",
+            loaded_at,
+            most_rejected,
+        )
         sources = {transactions_file: transactions, merchants_file: merchants}
         digests = provenance.manifest(spark, sources)
         digests.coalesce(1).write.json(f"{folder}/provenance.json")
 
 
+def _write_all(spark: SparkSession, frame: DataFrame, path: str, read_rows: Callable[[], int]) -> None:
+    """Write ``frame`` and compare the rows written with those read."""
+    tables.write_parquet(frame, path)
+    read, written = read_rows(), tables.read_parquet(spark, path).count()
+    if read != written:
+        raise ValueError(f"{path.rsplit('/', 1)[1]}: {read} rows read, {written} written")
+
+
+def _load_checked(
+    spark: SparkSession,
+    flagged: DataFrame,
+    accepted_path: str,
+    rejected_path: str,
+    loaded_at: datetime,
+    most_rejected: int | None,
+) -> None:
+    """Parse delimited text once, and write its accepted and its rejected lines from that."""
+    name = accepted_path.rsplit("/", 1)[1]
+    parsed = f"{accepted_path}_parsed"
+    seen = Observation(name)
+    named = flagged.withColumn("_file", F.col("_metadata.file_name"))
+    tables.write_parquet(named.observe(seen, F.count(F.lit(1)).alias("rows")), parsed)
+    whole = tables.read_parquet(spark, parsed)
+    rejected = quarantine.divided(whole).rejected
+    tables.write_parquet(tables.with_load_metadata(rejected, "bronze", loaded_at), rejected_path)
+    accepted = whole.filter(F.col(quarantine.REJECTED).isNull()).drop(quarantine.REJECTED)
+    accepted = accepted.withColumnRenamed("_file", "source_file_name")
+    tables.write_parquet(tables.with_load_metadata(accepted, "bronze", loaded_at), accepted_path)
+    kept, left = (tables.read_parquet(spark, p).count() for p in (accepted_path, rejected_path))
+    lines = seen.get["rows"]
+    if lines != whole.count():  # a task that was repeated may have reported twice
+        lines = flagged.select(*flagged.columns[:1], quarantine.REJECTED).count()
+    if lines != kept + left:
+        raise ValueError(f"{name}: {lines} lines read, {kept} written and {left} rejected")
+    if most_rejected is not None and left > most_rejected:
+        reasons = rejected.groupBy("reason").count().orderBy(F.desc("count"), "reason").limit(5).collect()
+        told = ", ".join(f"{r['reason']}: {r['count']}" for r in reasons)
+        raise ValueError(f"{name}: {left} lines rejected, {most_rejected} allowed ({told})")
+    tables.remove(spark, parsed)
+
+
 def run_silver(
     spark: SparkSession,
     bronze_dir: str,
@@ -104,13 +142,13 @@ def run_silver(
     """
     _require_utc(spark)
     names = ("historical_transactions", "merchants")
-    sources = [tables.table_path(spark, bronze_dir, name) for name in names]
+    sources = [versions.table_path(spark, bronze_dir, name) for name in names]
     tables.require_paths(spark, sources, "Silver")
     loaded_at = _now()
     raw = tables.read_parquet(spark, sources[0])
     merchants = tables.read_parquet(spark, sources[1])
     typed = silver.typed_attempts(raw)
-    with _version(spark, silver_dir) as folder:
+    with versions.new_version(spark, silver_dir) as folder:
 
         def put(frame: DataFrame, name: str) -> DataFrame:
             path = f"{folder}/{name}"
@@ -163,18 +201,23 @@ def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> dict:
     """
     _require_utc(spark)
     names = ("transactions", "merchant_conflicts", "dq.json")
-    needed = [tables.table_path(spark, silver_dir, name) for name in names]
+    needed = [versions.table_path(spark, silver_dir, name) for name in names]
     tables.require_paths(spark, needed, "Gold")
     loaded_at = _now()
     attempts = tables.read_parquet(spark, needed[0])
     metrics = tables.read_json(spark, needed[2], METRICS_SCHEMA)
     conflicts = tables.read_parquet(spark, needed[1]).drop("silver_load_timestamp")
-    with _version(spark, gold_dir) as folder:
+    with versions.new_version(spark, gold_dir) as folder:
 
-        def put(frame: DataFrame, name: str, single_file: bool = False) -> DataFrame:
+        def put(
+            frame: DataFrame, name: str, single_file: bool = False, cluster: Sequence[str] = ()
+        ) -> DataFrame:
             path = f"{folder}/{name}"
             described = tables.with_load_metadata(frame, "gold", loaded_at)
-            tables.write_parquet(described, path, single_file)
+            if cluster:
+                tables.write_clustered(described, path, cluster)
+            else:
+                tables.write_parquet(described, path, single_file)
             return tables.read_parquet(spark, path)
 
         def at_once(*writes: Callable[[], DataFrame]) -> list[DataFrame]:
@@ -189,12 +232,21 @@ def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> dict:
             lambda: put(quality.warning_samples(attempts), "data_quality_warning_samples", True),
             lambda: put(conflicts, "data_quality_merchant_conflicts"),
         )
-        by = summaries.stored_summaries(
-            tables.read_parquet(spark, small), tables.read_parquet(spark, merchant)
-        )
-        written = at_once(
-            *(lambda q=q: put(q.ask(by), q.name, q.bounded) for q in questions.QUESTIONS)
-        )
+        # Most questions ask the small summary, which is therefore kept for as long as they do.
+        with persisted(tables.read_parquet(spark, small)) as (kept,):
+            by = summaries.stored_summaries(kept, tables.read_parquet(spark, merchant))
+            written = at_once(
+                *(lambda q=q: put(q.ask(by), q.name, q.bounded, q.cluster) for q in questions.QUESTIONS)
+            )
+            numbers = put(summaries.merchant_numbers(by), "merchant_numbers")
+            maps = at_once(
+                lambda: put(summaries.city_maps(by), "city_maps"),
+                lambda: put(
+                    summaries.merchant_maps(by, numbers.drop("gold_load_timestamp")), "merchant_maps"
+                ),
+            )
+            put(summaries.active_counts(*maps, "year_month"), "active_by_month", True)
+            put(summaries.active_counts(*maps), "active_overall", True)
         cities = dict(zip((q.name for q in questions.QUESTIONS), written))["q5_cities"]
         recorded = metrics.select("row_count", "total_amount").first()
         result = require_reconciled(

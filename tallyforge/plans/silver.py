@@ -82,9 +82,14 @@ def merchant_conflicts(merchants: DataFrame) -> DataFrame:
     return conflicting_names(merchants, "merchant_id", "merchant_name")
 
 
-def enrich(typed: DataFrame, lookup: DataFrame, broadcast: bool = False) -> DataFrame:
-    """Attach the display name and both flags; unmatched attempts are named by their id."""
-    joined = attach(typed, lookup, "merchant_id", broadcast)
+def enrich(
+    typed: DataFrame, lookup: DataFrame, broadcast: bool = False, proven: bool = False
+) -> DataFrame:
+    """Attach the display name and both flags; unmatched attempts are named by their id.
+
+    A lookup with a double key ends the query (see ``attach``, also for ``proven``).
+    """
+    joined = attach(typed, lookup, "merchant_id", broadcast, proven)
     return joined.withColumns(
         {
             "merchant_name": F.coalesce("merchant_name", "merchant_id", F.lit(v.UNKNOWN_MERCHANT)),
@@ -104,4 +109,4 @@ def to_silver(attempts: DataFrame, merchants: DataFrame, validate: bool = True)
     lookup = merchant_lookup(merchants)
     if validate:
         enforce_contract(contract_report(typed).first().asDict())
-    return Silver(enrich(typed, lookup), lookup, merchant_conflicts(merchants))
+    return Silver(enrich(typed, lookup, proven=True), lookup, merchant_conflicts(merchants))

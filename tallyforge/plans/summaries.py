@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions import values as v
+from tallyforge.operators.distinct import distinct_counts, distinct_maps, numbered_keys
 from tallyforge.operators.measures import measures, measures_by_sets, roll_up
 
 # by("city_id", "hour") -> one row per city and hour with the four measures
@@ -79,6 +80,38 @@ def merchant_summary(attempts: DataFrame) -> DataFrame:
     return summaries_of(attempts)(*MERCHANT_GRAIN)
 
 
+# Who was active, as bit maps: distinct counts at any coarser grain come from these two.
+CITY_MAP_GRAIN = ("year_month",)
+MERCHANT_MAP_GRAIN = ("year_month", "city_id")
+
+
+def city_maps(by: Summaries) -> DataFrame:
+    """Maps of the cities with attempts per month; a city's id is its number."""
+    return distinct_maps(by("year_month", "city_id"), CITY_MAP_GRAIN, "city_id")
+
+
+def merchant_numbers(by: Summaries) -> DataFrame:
+    """``merchant_id, number``: all merchants, those with the most attempts first."""
+    return numbered_keys(by("merchant_id"), "merchant_id", F.sum("all_attempt_count"))
+
+
+def merchant_maps(by: Summaries, numbers: DataFrame) -> DataFrame:
+    """Maps of the merchants with attempts per month and city."""
+    met = by(*MERCHANT_MAP_GRAIN, "merchant_id").join(numbers, "merchant_id")
+    return distinct_maps(met, MERCHANT_MAP_GRAIN, "number")
+
+
+def active_counts(cities: DataFrame, merchants: DataFrame, *names: str) -> DataFrame:
+    """Distinct cities and merchants by ``names`` of the cities' grain, or over all without any."""
+    counts = [
+        distinct_counts(maps, names, name)
+        for maps, name in ((cities, "city_count"), (merchants, "merchant_count"))
+    ]
+    both = counts[0].unionByName(counts[1], allowMissingColumns=True)
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("city_count", "merchant_count")]
+    return both.groupBy(*names).agg(*totals)
+
+
 def stored_summaries(small: DataFrame, merchant: DataFrame) -> Summaries:
     """Summaries rolled up from the two stored ones."""
 

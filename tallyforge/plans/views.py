@@ -234,9 +234,13 @@ def conflict_listing(names: DataFrame) -> DataFrame:
 
 # Exploration
 
-def peek(frame: DataFrame, columns: list[str], n: int = 10) -> DataFrame:
-    """Some n rows of the chosen columns, whichever come first."""
-    return frame.select(*columns).limit(n)
+def peek(frame: DataFrame, columns: list[str], n: int = 10, order: list[str] | None = None) -> DataFrame:
+    """n rows of the chosen columns: whichever come first, or by ``order`` and then all chosen columns,
+    so that it is the same rows every time."""
+    if order is None:
+        return frame.select(*columns).limit(n)
+    keys = [*order, *(c for c in columns if c not in order)]
+    return frame.orderBy(*(F.asc_nulls_last(c) for c in keys)).limit(n).select(*columns)
 
 
 def by_authorization(silver: DataFrame) -> DataFrame:

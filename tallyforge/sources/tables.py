@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 from typing import Any
 
@@ -12,14 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     """Hadoop path and file system, so local folders and object stores work alike."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _filesystem(spark, path)
+    hadoop_path, fs = filesystem(spark, path)
     return fs.exists(hadoop_path)
 
 
@@ -31,68 +30,18 @@ def require_paths(spark: SparkSession, paths: Iterable[str], stage: str) -> None
 
 def absolute(spark: SparkSession, path: str) -> str:
     """``path`` from the root of its file system, without scheme and host."""
-    hadoop_path, fs = _filesystem(spark, path)
+    hadoop_path, fs = filesystem(spark, path)
     return fs.makeQualified(hadoop_path).toUri().getPath().rstrip("/")
 
 
 def is_file(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _filesystem(spark, path)
+    hadoop_path, fs = filesystem(spark, path)
     return fs.getFileStatus(hadoop_path).isFile()
 
 
-# Versions of a layer.  Each run writes a folder of its own below ``_versions``; a small file names the
-# one that counts and is replaced last, so readers see the old tables or all of the new ones.
-# Data is never renamed.
-
-_POINTER = "_current"
-
-
-def new_version(layer: str) -> str:
-    return f"{layer}/_versions/{uuid.uuid4().hex}"
-
-
-def current_version(spark: SparkSession, layer: str) -> str | None:
-    """The published folder of a layer, if there is one."""
-    path, fs = _filesystem(spark, f"{layer}/{_POINTER}")
-    if not fs.exists(path):
-        return None
-    stream = fs.open(path)
-    try:
-        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return f"{layer}/_versions/{name}"
-
-
-def table_path(spark: SparkSession, layer: str, name: str) -> str:
-    """Where the published table ``name`` of a layer is; a missing layer leads to a missing path."""
-    return f"{current_version(spark, layer) or layer}/{name}"
-
-
-def publish_version(spark: SparkSession, layer: str, version: str) -> None:
-    """Make a completely written version the current one; the one before it stays, older ones go."""
-    before = current_version(spark, layer)
-    pointer, fs = _filesystem(spark, f"{layer}/{_POINTER}")
-    written, _ = _filesystem(spark, f"{version}{_POINTER}")
-    stream = fs.create(written, True)
-    stream.write(version.rsplit("/", 1)[1].encode())
-    stream.close()
-    jvm = spark._jvm
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.getUri(), spark._jsc.hadoopConfiguration()
-    )
-    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(fs.makeQualified(written), fs.makeQualified(pointer), overwrite)
-    kept = {x.rsplit("/", 1)[1] for x in (before, version) if x}
-    for status in fs.listStatus(written.getParent()):
-        if status.getPath().getName() not in kept:
-            fs.delete(status.getPath(), True)
-
-
-def discard(spark: SparkSession, version: str) -> None:
-    path, fs = _filesystem(spark, version)
-    fs.delete(path, True)
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = filesystem(spark, path)
+    fs.delete(hadoop_path, True)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -110,6 +59,17 @@ def write_parquet(frame: DataFrame, path: str, single_file: bool = False) -> Non
     (frame.coalesce(1) if single_file else frame).write.mode("overwrite").parquet(path)
 
 
+def write_clustered(frame: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Full refresh of a table in the order of ``keys``, which may be of any number.
+
+    Each file, and each row group in it, holds a narrow range of the keys and tells it in its footer, so
+    that a filter on leading keys opens few files and reads the groups that can match.  Ranges are
+    Spark's sample of the rows, so a frequent key takes several files and many rare ones share one.
+    """
+    ranged = frame.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged.write.mode("overwrite").parquet(path)
+
+
 def write_json(frame: DataFrame, path: str) -> None:
     """A one-row frame as JSON; decimals and dates become text so nothing is lost."""
     texts = {

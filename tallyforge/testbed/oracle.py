@@ -225,6 +225,23 @@ HOURS = f"""hours AS (
 )"""
 
 
+ACTIVE = """SELECT year_month, count(DISTINCT city_id) AS city_count,
+  count(DISTINCT merchant_id) AS merchant_count FROM silver GROUP BY year_month"""
+# Events as delimited text with broken lines, and why each of those is broken.
+EVENT_LINES = """lines AS (
+  SELECT event_id, event_type, CAST(value AS DECIMAL(18,2)) AS v,
+    concat_ws(',', event_id, CASE WHEN event_id % 17 = 0 THEN 'x' ELSE '' END || user_id,
+      CASE WHEN event_id % 5 = 0 THEN '"' || event_type || ', again"' ELSE event_type END,
+      CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'n/a'
+           ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END,
+      CASE WHEN event_id % 11 = 0 AND event_id % 7 <> 0 THEN 'more' END) AS line,
+    CASE WHEN event_id % 17 = 0 THEN 'user_id is not of type bigint'
+         WHEN event_id % 13 = 0 AND event_id % 7 <> 0 THEN 'value is not of type decimal(18,2)'
+         WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN 'wrong number of fields' END AS reason
+  FROM events
+)"""
+
+
 def _interval(slots: str) -> str:
     """Best window over a relation ``slots(slot, w)``, by trying every start and length."""
     return f"""slots AS ({slots}),
@@ -422,9 +439,15 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (event_id % 5 IN (0, 4)) AS invalid_amount FROM events""",
         "rows_rejected": """SELECT event_type AS category, count(*) AS rejected FROM events
             WHERE event_id % 3 <> 1 OR event_id % 5 IN (0, 4) GROUP BY event_type""",
-        "peek_regions": "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region",
+        "peek_attempts": q(
+            """SELECT strftime(purchase_date, '%Y-%m-%d %H:%M:%S') AS purchase_date, merchant_id,
+              CAST(purchase_amount AS DOUBLE) AS purchase_amount, city_id, category FROM silver
+              ORDER BY silver.purchase_date NULLS LAST, merchant_id NULLS LAST, silver.purchase_amount NULLS LAST,
+                city_id NULLS LAST, category NULLS LAST LIMIT 10"""
+        ),
         "order_row_digests": """WITH digests AS (
-              SELECT o_orderstatus, sha256(o_orderkey || '|' || o_custkey || '|' || o_orderpriority) AS d
+              SELECT o_orderstatus, sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus,
+                CAST(o_totalprice AS DECIMAL(28,2)), CAST(o_orderdate AS DATE), o_orderpriority)) AS d
               FROM orders),
             words AS (
               SELECT o_orderstatus, i, count(*) AS n,
@@ -492,6 +515,26 @@ def oracle_sql() -> dict[str, str]:
                 AS total_label, attempts AS attempt_count
               FROM q1 WHERE year_month = '1998-06' AND city_id = 3""",
         ),
+        "stored_q1_city_month_slice": q(
+            Q1,
+            f"""SELECT rank, strftime(strptime(year_month, '%Y-%m'), '%b %Y') AS "month", city_id,
+              merchant_name, CAST(total AS DOUBLE) AS total_amount, {_money('total')}
+                AS total_label, attempts AS attempt_count
+              FROM q1 WHERE year_month = '1998-06' AND city_id = 3""",
+        ),
+        "active_by_month": q(ACTIVE),
+        "stored_active_by_month": q(ACTIVE),
+        "active_overall": q(
+            "SELECT count(DISTINCT city_id) AS city_count, count(DISTINCT merchant_id) AS merchant_count FROM silver"
+        ),
+        "csv_rejected_by_reason": f"""WITH {EVENT_LINES}
+            SELECT reason, count(*) AS line_count, min(line) AS first_line
+            FROM lines WHERE reason IS NOT NULL GROUP BY reason""",
+        "csv_accepted_by_type": f"""WITH {EVENT_LINES}
+            SELECT CASE WHEN event_id % 5 = 0 THEN event_type || ', again' ELSE event_type END AS event_type,
+              count(*) AS line_count, CAST(sum(v) AS DOUBLE) AS value
+            FROM lines WHERE reason IS NULL GROUP BY ALL""",
+        "q4_hundred_merchants": q(Q4.replace("global_rank <= 5", "global_rank <= 100"), "SELECT * FROM q4"),
         "q2_leaders": q(
             Q2,
             "SELECT rank, merchant, state_id, average_amount FROM q2 WHERE rank <= 5",
@@ -637,6 +680,24 @@ def oracle_sql() -> dict[str, str]:
         "events_busiest_hours": f"""WITH {EVENTS},
             {_interval("SELECT h AS slot, sum(v) AS w FROM ev GROUP BY h")}
             {INTERVAL_OUT}""",
+        "events_busiest_minutes": """WITH slots AS (
+              SELECT 60 * hour(ts) + minute(ts) AS slot, sum(CAST(value AS DECIMAL(28,2))) AS w
+              FROM events GROUP BY ALL),
+            turns AS (
+              SELECT i, coalesce(w, 0) AS w FROM range(2880) t(i) LEFT JOIN slots ON slot = i % 1440),
+            sums AS (
+              SELECT i, coalesce(sum(w) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                AS before, sum(w) OVER (ORDER BY i) AS until FROM turns),
+            whole AS (SELECT sum(w) AS total FROM slots),
+            runs AS (
+              SELECT a.i AS first_slot, b.i - a.i + 1 AS run, b.until - a.before AS covered
+              FROM sums a JOIN sums b ON a.i < 1440 AND b.i >= a.i AND b.i < a.i + 1440)
+            SELECT CAST(first_slot AS BIGINT) AS start_minute, CAST((first_slot + run) % 1440 AS BIGINT) AS end_minute,
+              CAST(run AS BIGINT) AS minutes, CAST(covered AS DOUBLE) AS covered_amount,
+              CAST(total AS DOUBLE) AS total_approved_amount,
+              round(CAST(covered AS DOUBLE) / CAST(total AS DOUBLE), 12) AS share, 0.8E0 AS target_share
+            FROM runs, whole WHERE CAST(covered AS DOUBLE) / CAST(total AS DOUBLE) >= 0.8E0
+            ORDER BY run, first_slot LIMIT 1""",
         "events_weekday_exposure": f"""WITH {EVENTS}
             SELECT isodow(d) - 1 AS weekday, CAST(sum(v) AS DOUBLE) AS all_attempt_amount,
               count(*) AS all_attempt_count,

@@ -25,7 +25,7 @@ from tallyforge.operators.ranking import (
 )
 from tallyforge.operators.reconcile import reconcile
 from tallyforge.plans import gold, quality, silver, summaries, views
-from tallyforge.sources import provenance, tables
+from tallyforge.sources import provenance, quarantine, tables
 from tallyforge.testbed import binding
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,10 +159,51 @@ def _rows_rejected(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(rejected.groupBy("category").agg(F.count(F.lit(1)).alias("rejected")))
 
 
+def _peek_attempts(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["purchase_date", "merchant_id", "purchase_amount", "city_id", "category"]
+    return comparable(views.peek(binding.attempts(spark, folder), columns, 10, ["purchase_date"]))
+
+
 def _order_row_digests(spark: SparkSession, folder: str) -> DataFrame:
-    orders = binding.table(spark, folder, "orders")
-    return provenance.row_digests(
-        orders, "o_orderstatus", ["o_orderkey", "o_custkey", "o_orderpriority"]
+    orders = binding.table(spark, folder, "orders").withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice").cast("decimal(28,2)"),
+            "o_orderdate": F.col("o_orderdate").cast("date"),
+        }
+    )
+    return provenance.row_digests(orders, "o_orderstatus", orders.columns)
+
+
+# Delimited text made of the events, with lines that cannot be read.
+
+EVENT_LINES = "event_id bigint, user_id bigint, event_type string, value decimal(18,2)"
+
+
+def _checked_events(spark: SparkSession, folder: str) -> quarantine.Checked:
+    events, id_ = binding.table(spark, folder, "events"), F.col("event_id")
+    fields = [
+        id_.cast("string"),
+        F.concat(F.when(id_ % 17 == 0, "x").otherwise(""), F.col("user_id").cast("string")),
+        F.when(id_ % 5 == 0, F.concat(F.lit('"'), "event_type", F.lit(', again"'))).otherwise(F.col("event_type")),
+        F.when(id_ % 7 != 0, F.when(id_ % 13 == 0, "n/a").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))),
+        F.when((id_ % 11 == 0) & (id_ % 7 != 0), "more"),
+    ]
+    path = f"{binding.work_folder(spark)}/events.csv"
+    events.select(F.concat_ws(",", *fields)).write.text(path)
+    return quarantine.read_checked_csv(spark, path, EVENT_LINES, header=False)
+
+
+def _csv_rejected_by_reason(spark: SparkSession, folder: str) -> DataFrame:
+    rejected = _checked_events(spark, folder).rejected
+    return rejected.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("line_count"), F.min("record").alias("first_line")
+    )
+
+
+def _csv_accepted_by_type(spark: SparkSession, folder: str) -> DataFrame:
+    accepted = _checked_events(spark, folder).accepted
+    return comparable(
+        accepted.groupBy("event_type").agg(F.count(F.lit(1)).alias("line_count"), F.sum("value").alias("value"))
     )
 
 
@@ -184,6 +225,33 @@ def _stored(make: Callable[[summaries.Summaries], DataFrame]) -> Query:
     return run
 
 
+def _stored_q1_slice(spark: SparkSession, folder: str) -> DataFrame:
+    """One month and city of the first question's table, as the batch job writes it."""
+    question = gold.QUESTIONS[0]
+    by = summaries.summaries_of(binding.silver(spark, folder).transactions)
+    path = f"{binding.work_folder(spark)}/{question.name}"
+    tables.write_clustered(question.ask(by), path, question.cluster)
+    return comparable(views.q1_slice(tables.read_parquet(spark, path), "1998-06", 3))
+
+
+def _activity(by: summaries.Summaries) -> tuple[DataFrame, DataFrame]:
+    return summaries.city_maps(by), summaries.merchant_maps(by, summaries.merchant_numbers(by))
+
+
+def _active(*names: str) -> Query:
+    return _on_attempts(lambda by: summaries.active_counts(*_activity(by), *names))
+
+
+def _stored_active(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct counts per month from maps that were stored per month, and month and city."""
+    work = binding.work_folder(spark)
+    stored = []
+    for name, maps in zip(("cities", "merchants"), _activity(summaries.summaries_of(binding.attempts(spark, folder)))):
+        tables.write_parquet(maps, f"{work}/{name}")
+        stored.append(tables.read_parquet(spark, f"{work}/{name}"))
+    return comparable(summaries.active_counts(*stored, "year_month"))
+
+
 def _manifest(spark: SparkSession, folder: str) -> DataFrame:
     names = ("lineitem", "orders", "customer", "nation", "supplier")
     return provenance.manifest(spark, {n: f"{folder}/{n}.parquet" for n in names})
@@ -262,6 +330,15 @@ def _events_interval(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(shortest_circular_interval(_events(spark, folder), "hour", "value"))
 
 
+def _events_by_minute(spark: SparkSession, folder: str) -> DataFrame:
+    """The shortest part of the day with 80 % of the value, to the minute."""
+    events = binding.table(spark, folder, "events").select(
+        (60 * F.hour("ts") + F.minute("ts")).alias("minute"), F.col("value").cast("decimal(28,2)").alias("value")
+    )
+    names = {"start": "start_minute", "end": "end_minute", "length": "minutes"}
+    return comparable(shortest_circular_interval(events, "minute", "value", period=1440, **names))
+
+
 def _events_exposure(spark: SparkSession, folder: str) -> DataFrame:
     daily = _event_measures(spark, folder, "day")
     return comparable(exposure_rate(daily, "day", F.weekday("day"), "weekday"))
@@ -299,9 +376,7 @@ def queries() -> dict[str, Query]:
         "contract_report": _contract_report,
         "contract_of_unparsed_text": _contract_of_unparsed_text,
         "rows_rejected": _rows_rejected,
-        "peek_regions": lambda spark, folder: comparable(
-            views.peek(binding.table(spark, folder, "region"), ["r_regionkey", "r_name"], 10)
-        ),
+        "peek_attempts": _peek_attempts,
         "order_row_digests": _order_row_digests,
         "q2_merchant_state": named(gold.q2_merchant_state),
         "q3_category_hours": by(gold.q3_category_hours),
@@ -329,6 +404,13 @@ def queries() -> dict[str, Query]:
         "q1_months": named(lambda b: views.q1_months(gold.q1_top_merchants(b))),
         "q1_cities_of_month": named(_q1_cities),
         "q1_city_month_slice": named(_q1_slice),
+        "stored_q1_city_month_slice": _stored_q1_slice,
+        "active_by_month": _active("year_month"),
+        "active_overall": _active(),
+        "stored_active_by_month": _stored_active,
+        "csv_rejected_by_reason": _csv_rejected_by_reason,
+        "csv_accepted_by_type": _csv_accepted_by_type,
+        "q4_hundred_merchants": named(lambda b: gold.q4_popular_merchants(b, 100)),
         "q2_leaders": named(lambda b: views.q2_leaders(gold.q2_merchant_state(b))),
         "q2_hundred_leaders": named(lambda b: views.q2_leaders(gold.q2_merchant_state(b), 100)),
         "q3_listing": by(lambda b: views.q3_listing(gold.q3_category_hours(b))),
@@ -379,6 +461,7 @@ def queries() -> dict[str, Query]:
         "events_leader_rank_by_type": _events_leader_rank_by_type,
         "events_type_hour_association": _events_association,
         "events_busiest_hours": _events_interval,
+        "events_busiest_minutes": _events_by_minute,
         "events_weekday_exposure": _events_exposure,
         "customer_segment_names": _names_of_customers,
     }

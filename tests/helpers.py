@@ -19,9 +19,9 @@ SILVER_SCHEMA = (
 
 def raw_row(**changes):
     row = {
-        "merchant_id": "m1",
-        "purchase_date": "2017-01-01 10:00:00",
-        "purchase_amount": "10.00",
+        "merchant_id": "k5",
+        "purchase_date": "2018-03-04 09:30:00",
+        "purchase_amount": "7.50",
         "city_id": 1,
         "state_id": 1,
         "category": "A",
@@ -33,15 +33,15 @@ def raw_row(**changes):
 
 def silver_row(**changes):
     row = {
-        "merchant_id": "m1",
+        "merchant_id": "k5",
         "city_id": 1,
         "state_id": 1,
         "category": "A",
         "installments": 1,
         "authorized_flag": "Y",
-        "purchase_date": datetime(2017, 1, 1, 10),
-        "purchase_amount": Decimal("10.00"),
-        "merchant_name": "One",
+        "purchase_date": datetime(2018, 3, 4, 9, 30),
+        "purchase_amount": Decimal("7.50"),
+        "merchant_name": "Kiosk",
         "merchant_name_ambiguous": False,
         "merchant_lookup_matched": True,
     }

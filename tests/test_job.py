@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.helpers import RAW_SCHEMA, raw_row, rows
 
 from tallyforge.plans import gold, job, quality, silver, summaries, views
-from tallyforge.sources import provenance, tables
+from tallyforge.sources import provenance, tables, versions
 
 
 @pytest.fixture
@@ -21,7 +21,7 @@ def layers(tmp_path):
 
 
 def published(spark, layers, layer, name):
-    return spark.read.parquet(tables.table_path(spark, layers[layer], name))
+    return spark.read.parquet(versions.table_path(spark, layers[layer], name))
 
 
 def visible(folder):
@@ -65,7 +65,7 @@ def test_whole_job(spark, layers):
         assert written.dtypes == frame.dtypes, name
         assert sorted(map(str, written.collect())) == sorted(map(str, frame.collect())), name
 
-    path = tables.table_path(spark, layers["silver"], "dq.json")
+    path = versions.table_path(spark, layers["silver"], "dq.json")
     metrics = tables.read_json(spark, path, job.METRICS_SCHEMA).first()
     want = quality.quality_metrics(expected.transactions, expected.merchant_conflicts).first()
     assert metrics.asDict() == want.asDict()
@@ -84,9 +84,10 @@ def test_whole_job(spark, layers):
     names = [r[0] for r in transactions.select("source_file_name").distinct().collect()]
     assert len(names) == 1 and names[0].endswith(".parquet")
     for layer in ("bronze", "silver", "gold"):
-        assert visible(layers[layer]) == {"_current", "_versions"}
+        assert visible(layers[layer]) == {"_log", "_leases", "_versions"}
+        assert visible(f"{layers[layer]}/_leases") == set()
         assert len(visible(f"{layers[layer]}/_versions")) == 1
-    listed = spark.read.json(tables.table_path(spark, layers["bronze"], "provenance.json"))
+    listed = spark.read.json(versions.table_path(spark, layers["bronze"], "provenance.json"))
     digest = hashlib.sha256(Path(layers["raw"], "merchants.csv").read_bytes()).hexdigest()
     assert listed.filter(F.col("source") == "merchants.csv").first()["sha256"] == digest
 
@@ -117,7 +118,7 @@ def test_a_failed_check_keeps_the_published_silver(spark, layers, bad, message):
     with pytest.raises(ValueError, match=message):
         job.run_silver(spark, layers["bronze"], layers["silver"])
     assert published(spark, layers, "silver", "transactions").count() == 200
-    current = Path(tables.current_version(spark, layers["silver"]))
+    current = Path(versions.current_version(spark, layers["silver"]))
     assert visible(current) == {"transactions", "merchant_lookup", "merchant_conflicts", "dq.json"}
     assert visible(current.parent) == {current.name}
 
@@ -130,7 +131,7 @@ def test_empty_source(spark, layers):
     job.run_bronze(spark, layers["raw"], layers["bronze"])
     with pytest.raises(ValueError, match="empty"):
         job.run_silver(spark, layers["bronze"], layers["silver"])
-    assert tables.current_version(spark, layers["silver"]) is None
+    assert versions.current_version(spark, layers["silver"]) is None
 
 
 def test_missing_inputs_are_named(spark, layers):
@@ -168,16 +169,6 @@ def test_digests_of_files(spark, tmp_path):
     assert {r["file"] for r in inner} == set(contents)
 
 
-def test_files_too_large_for_the_reader_are_named(spark, tmp_path):
-    (tmp_path / "large.bin").write_bytes(b"x" * 100)
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "99")
-    try:
-        with pytest.raises(ValueError, match="above 99 bytes.*large.bin"):
-            provenance.manifest(spark, {"x": str(tmp_path)})
-    finally:
-        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
-
-
 def test_manifest_tells_subfolders_apart(spark, tmp_path):
     def folder(name, first, second):
         for part, data in (("k=a", first), ("k=b", second)):
@@ -245,7 +236,7 @@ def test_one_row_json(spark, tmp_path):
 def test_bronze_spreads_on_demand(spark, layers):
     write_raw(spark, layers["raw"], GOOD, MERCHANTS)
     job.run_bronze(spark, layers["raw"], layers["bronze"], spread=3)
-    path = Path(tables.table_path(spark, layers["bronze"], "historical_transactions"))
+    path = Path(versions.table_path(spark, layers["bronze"], "historical_transactions"))
     assert len(list(path.glob("part-*.parquet"))) == 3
 
 
@@ -267,13 +258,67 @@ def test_a_crash_between_tables_leaves_the_last_version(spark, layers):
     """A driver that dies leaves a half-written version, which no reader looks at."""
     write_raw(spark, layers["raw"], GOOD, MERCHANTS)
     job.run_bronze(spark, layers["raw"], layers["bronze"])
-    half = tables.new_version(layers["bronze"])
+    half = f"{layers['bronze']}/_versions/half"
     spark.range(3).write.parquet(f"{half}/historical_transactions")
     assert published(spark, layers, "bronze", "historical_transactions").count() == 200
     job.run_bronze(spark, layers["raw"], layers["bronze"])
-    job.run_bronze(spark, layers["raw"], layers["bronze"])
     kept = visible(f"{layers['bronze']}/_versions")
-    assert len(kept) == 2 and half.rsplit("/", 1)[1] not in kept
+    assert len(kept) == 2 and "half" not in kept
+
+
+def test_overlapping_runs_of_a_layer(spark, layers, monkeypatch):
+    """A run that ends while another of its layer is half-way: the later one stays, the other says so."""
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    original, inner = provenance.manifest, []
+
+    def meanwhile(*arguments):
+        if not inner:
+            inner.append(True)
+            write_raw(spark, layers["raw"], GOOD[:60], MERCHANTS)
+            job.run_bronze(spark, layers["raw"], layers["bronze"])
+        return original(*arguments)
+
+    monkeypatch.setattr(job.provenance, "manifest", meanwhile)
+    with pytest.raises(versions.Superseded):
+        job.run_bronze(spark, layers["raw"], layers["bronze"])
+    assert published(spark, layers, "bronze", "historical_transactions").count() == 60
+    assert len(visible(f"{layers['bronze']}/_versions")) == 1
+
+
+def test_broken_lines_are_published_beside_the_merchants(spark, layers):
+    write_raw(spark, layers["raw"], GOOD, [*MERCHANTS, ("m5", "Five,and more")])
+    with open(f"{layers['raw']}/merchants.csv", "a") as file:
+        file.write("m6\n")
+    job.run_bronze(spark, layers["raw"], layers["bronze"])
+    merchants = published(spark, layers, "bronze", "merchants")
+    assert {r["merchant_id"] for r in merchants.collect()} == {"m0", "m1", "m2", "m3"}
+    assert set(merchants.columns) == {"merchant_id", "merchant_name", "source_file_name", "bronze_load_timestamp"}
+    rejected = published(spark, layers, "bronze", "rejected_merchants").collect()
+    assert {(r["file"], r["record"], r["reason"]) for r in rejected} == {
+        ("merchants.csv", "m5,Five,and more", "wrong number of fields"),
+        ("merchants.csv", "m6", "wrong number of fields"),
+    }
+    assert "merchants_parsed" not in visible(versions.current_version(spark, layers["bronze"]))
+    before = versions.current_version(spark, layers["bronze"])
+    with pytest.raises(ValueError, match="2 lines rejected, 1 allowed .wrong number of fields: 2"):
+        job.run_bronze(spark, layers["raw"], layers["bronze"], most_rejected=1)
+    assert versions.current_version(spark, layers["bronze"]) == before
+
+
+def test_published_tables_are_clustered_and_activity_is_counted(spark, layers):
+    write_raw(spark, layers["raw"], GOOD, MERCHANTS)
+    job.run_all(spark, *(layers[n] for n in ("raw", "bronze", "silver", "gold")))
+    leaders = published(spark, layers, "gold", "q1_top_merchants")
+    keys = [(r["year_month"], -9 if r["city_id"] is None else r["city_id"], r["rank"]) for r in leaders.collect()]
+    assert keys == sorted(keys)
+    attempts = published(spark, layers, "silver", "transactions")
+    wanted = [F.count_distinct("city_id").alias("city_count"), F.count_distinct("merchant_id").alias("merchant_count")]
+    want = attempts.groupBy(F.date_format("purchase_date", "yyyy-MM").alias("year_month")).agg(*wanted)
+    got = published(spark, layers, "gold", "active_by_month").drop("gold_load_timestamp")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    overall = published(spark, layers, "gold", "active_overall").drop("gold_load_timestamp")
+    assert overall.collect() == attempts.agg(*wanted).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_gold_scans_silver_three_times(spark, layers, monkeypatch):
@@ -326,9 +371,9 @@ def test_a_lookup_that_multiplies_rows_is_refused(spark, layers, monkeypatch):
         return lookup.unionByName(lookup)
 
     monkeypatch.setattr(job.silver, "merchant_lookup", doubled)
-    with pytest.raises(ValueError, match="changed the row count from 200"):
+    with pytest.raises(Exception, match="more than one row for merchant_id m"):
         job.run_silver(spark, layers["bronze"], layers["silver"])
-    assert tables.current_version(spark, layers["silver"]) is None
+    assert versions.current_version(spark, layers["silver"]) is None
 
 
 def test_command_line(spark, layers, monkeypatch):

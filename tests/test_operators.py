@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -35,6 +38,30 @@ few = settings(
 )
 
 
+# Dimension
+
+
+def test_a_lookup_with_a_double_key_fails_without_the_job(spark):
+    """In one pass over the fact, merged or broadcast; null keys may repeat."""
+    fact = spark.range(100).select((F.col("id") % 7).cast("string").alias("k"), "id")
+    names = [(str(i), f"name {i}") for i in range(7)] + [(None, "x"), (None, "y")]
+    unique = spark.createDataFrame(names, "k string, name string")
+    double = spark.createDataFrame([*names, ("3", "again")], "k string, name string")
+    for broadcast in (False, True):
+        assert attach(fact, unique, "k", broadcast).count() == 100
+        plan = final_plan(attach(fact, unique, "k", broadcast))
+        assert plan.count("Range (0, 100") == 1
+        with pytest.raises(Exception, match="more than one row for k 3"):
+            attach(fact, double, "k", broadcast).count()
+
+
+def test_a_proven_lookup_is_not_checked(spark):
+    fact = spark.range(10).withColumnRenamed("id", "k")
+    lookup = spark.range(10).groupBy(F.col("id").alias("k")).agg(F.max("id").alias("x"))
+    assert "raise_error" not in final_plan(attach(fact, lookup, "k", proven=True))
+    assert "raise_error" in final_plan(attach(fact, lookup, "k"))
+
+
 # Association
 
 
@@ -56,12 +83,12 @@ def brute_v(cells):
 
 
 def test_independent_and_perfect_tables(spark):
-    even = [(a, b, 10) for a in (1, 2) for b in "xy"]
-    assert v_of(spark, even)["cramers_v"] == 0.0
-    diagonal = [(1, "x", 20), (1, "y", 0), (2, "x", 0), (2, "y", 20)]
-    got = v_of(spark, diagonal)
+    proportional = [(a, b, a * n) for a in (3, 5, 8) for b, n in zip("pqrs", (2, 7, 1, 4))]
+    assert v_of(spark, proportional)["cramers_v"] == pytest.approx(0.0, abs=1e-9)
+    one_each = [(a, b, n if i == j else 0) for i, (a, n) in enumerate([(3, 6), (5, 11), (8, 2)]) for j, b in enumerate("pqr")]
+    got = v_of(spark, one_each)
     assert got["cramers_v"] == pytest.approx(1.0)
-    assert (got["population"], got["a_count"], got["b_count"]) == (40, 2, 2)
+    assert (got["population"], got["a_count"], got["b_count"]) == (19, 3, 3)
 
 
 def test_one_group_has_no_association(spark):
@@ -125,13 +152,34 @@ def test_whole_cycle_ends_where_it_starts(spark):
     assert (got["start_hour"], got["end_hour"], got["hours"]) == (0, 0, 24)
 
 
+@pytest.mark.parametrize("kind", ["even", "random", "negative"])
+def test_the_minutes_of_a_day(spark, kind):
+    """A cycle of 1,440 slots, found in a moment, and equal to prefix sums tried for every start and end."""
+    chance = random.Random(kind)
+    least, most = {"even": (7, 7), "random": (0, 900), "negative": (-300, 500)}[kind]
+    weights = [chance.randint(least, most) for _ in range(1440)]
+    interval_of(spark, {0: 1}, period=1440)
+    started = time.perf_counter()
+    got = interval_of(spark, dict(enumerate(weights)), period=1440)
+    took = time.perf_counter() - started
+    sums = [0, *itertools.accumulate(weights * 2)]
+    want = next(
+        (start, (start + n) % 1440, n, sums[start + n] - sums[start])
+        for n in range(1, 1441)
+        for start in range(1440)
+        if (sums[start + n] - sums[start]) / sums[1440] >= 0.8
+    )
+    assert (got["start_hour"], got["end_hour"], got["hours"], got["covered_amount"]) == want
+    assert took < 5, took  # most of it is Spark's planning
+
+
 def test_no_weight_gives_no_interval(spark):
     assert interval_of(spark, {3: 0}) is None
 
 
 @few
 @given(
-    st.dictionaries(st.integers(0, 9), st.integers(0, 20), min_size=1),
+    st.dictionaries(st.integers(0, 9), st.integers(-6, 20), min_size=1),
     st.sampled_from([0.3, 0.5, 0.8, 1.0]),
 )
 def test_interval_by_brute_force(spark, weights, target):

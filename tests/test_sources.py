@@ -1,0 +1,227 @@
+"""Digests of large files, delimited text with broken lines, clustered tables, scoped persistence."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from pathlib import Path
+
+import pytest
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+from tests.helpers import rows
+
+from tallyforge.sources import provenance, quarantine, tables
+from tallyforge.sources.scoped import persisted
+
+CHUNK = 1000
+
+
+def tree(data, chunk=CHUNK, fanout=provenance.FANOUT):
+    """Root of the tree over ``data`` by plain means."""
+    level = [hashlib.sha256(data[i : i + chunk]).hexdigest() for i in range(0, len(data), chunk)]
+    for _ in range(provenance.LEVELS):
+        level = [
+            hashlib.sha256("".join(level[i : i + fanout]).encode()).hexdigest()
+            for i in range(0, len(level), fanout)
+        ]
+    return f"tree-{chunk}-{level[0]}"
+
+
+def contents():
+    chance = random.Random(4)
+    return {
+        "random.bin": chance.randbytes(30_000),
+        "lines.csv": b"".join(b"%d,some text\r\n" % i for i in range(2_000)),
+        "no line feed at the end": b"\n\n\n" + b"x" * 9_000 + b"\n" + b"y" * 2_001,
+        "one line": b"z" * 12_345,
+        "empty lines": b"\n" * 7_000,
+        "mark.txt": b"\xef\xbb\xbf" + b"word\n" * 1_500,
+        "mark and no end.txt": b"\xef\xbb\xbf" + b"word\n" * 1_500 + b"end",
+        "exact": b"a" * (5 * CHUNK - 1) + b"\n",
+        "only line feeds in chunks": (b"b" * (CHUNK - 1) + b"\n") * 6,
+        "sub folder/100%+ü.bin": chance.randbytes(4_000).replace(b"\n", b"") + b"\n",
+    }
+
+
+@pytest.fixture(scope="module")
+def large(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("large files")
+    for name, data in contents().items():
+        Path(folder, name).parent.mkdir(exist_ok=True)
+        Path(folder, name).write_bytes(data)
+    (folder / "small").write_bytes(b"small\n")
+    (folder / "nothing").write_bytes(b"")
+    return str(folder)
+
+
+@pytest.fixture
+def settings(spark):
+    """Sets session settings for a test and takes them back."""
+    changed = []
+
+    def change(**values):
+        for name, value in values.items():
+            key = f"spark.sql.{name.replace('_', '.')}"
+            changed.append((key, spark.conf.get(key, None)))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in reversed(changed):
+        spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("split", ["700", "4096", "128m"])
+def test_files_above_the_readers_limit(spark, large, settings, split):
+    """Equal to the plain tree, however Spark splits the files; small files keep their plain digest."""
+    settings(sources_binaryFile_maxLength="3000", files_maxPartitionBytes=split, files_openCostInBytes="100")
+    got = {r["file"]: (r["bytes"], r["sha256"]) for r in rows(provenance.digests(spark, large, CHUNK))}
+    want = {name: (len(data), tree(data)) for name, data in contents().items()}
+    want["small"] = (6, hashlib.sha256(b"small\n").hexdigest())
+    assert got == want
+
+
+def test_places_of_many_splits_are_joined(spark, large, settings, monkeypatch):
+    settings(sources_binaryFile_maxLength="3000", files_maxPartitionBytes="900", files_openCostInBytes="100")
+    monkeypatch.setattr(provenance, "_BROADCAST_SPLITS", 0)
+    chunks = provenance.chunk_digests(spark, large, 3000, CHUNK)
+    got = sorted((r["path"].rsplit("/", 1)[1], r["chunk"], r["digest"]) for r in chunks.collect() if "lines.csv" in r["path"])
+    data = contents()["lines.csv"]
+    assert got == [
+        ("lines.csv", i, hashlib.sha256(data[i * CHUNK : (i + 1) * CHUNK]).hexdigest())
+        for i in range(-(-len(data) // CHUNK))
+    ]
+
+
+def test_levels_of_the_tree(spark):
+    digests = [hashlib.sha256(bytes([i])).hexdigest() for i in range(100)]
+    frame = spark.createDataFrame([("f", i, d) for i, d in enumerate(digests)], "path string, chunk long, digest string")
+    level = digests
+    for _ in range(3):
+        level = [hashlib.sha256("".join(level[i : i + 5]).encode()).hexdigest() for i in range(0, len(level), 5)]
+    assert len(level) == 1
+    assert provenance.tree_roots(frame, fanout=5, levels=3).collect() == [("f", level[0])]
+
+
+def test_manifest_of_a_large_file(spark, tmp_path, settings):
+    settings(sources_binaryFile_maxLength="50")
+    (tmp_path / "large.bin").write_bytes(b"x" * 100)
+    listed = rows(provenance.manifest(spark, {"x": str(tmp_path / "large.bin")}))
+    root = tree(b"x" * 100, provenance.CHUNK_BYTES)
+    assert listed == [{"source": "x", "files": 1, "bytes": 100, "sha256": root}]
+
+
+# Delimited text
+
+LINES = """id,name,amount
+1,one,1.50
+2,"two, quoted",2
+x3,three,3
+4,four
+5,five,5,more
+6,six,six
+7,,
+x8,eight
+"""
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(LINES)
+    (tmp_path / "b.csv").write_text("id,name,amount\n9,nine,9\n,,,\n")
+    accepted, rejected = quarantine.read_checked_csv(
+        spark, str(tmp_path), "id int, name string, amount decimal(9,2)"
+    )
+    assert accepted.columns == ["id", "name", "amount"]
+    assert sorted((r["id"], r["name"], float(r["amount"] or 0)) for r in accepted.collect()) == [
+        (1, "one", 1.5), (2, "two, quoted", 2.0), (7, None, 0.0), (9, "nine", 9.0),
+    ]
+    assert sorted(map(tuple, rejected.collect())) == [
+        ("a.csv", "4,four", "wrong number of fields"),
+        ("a.csv", "5,five,5,more", "wrong number of fields"),
+        ("a.csv", "6,six,six", "amount is not of type decimal(9,2)"),
+        ("a.csv", "x3,three,3", "id is not of type int"),
+        ("a.csv", "x8,eight", "id is not of type int"),
+        ("b.csv", ",,,", "wrong number of fields"),
+    ]
+
+
+def test_other_separators_and_text_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k;v\n1;a\n2\n3;b;c\n")
+    schema = quarantine.text_schema(spark, str(tmp_path / "a.csv"))
+    assert schema.names == ["k;v"]
+    accepted, rejected = quarantine.read_checked_csv(spark, str(tmp_path), "k int, v string", sep=";")
+    assert [tuple(r) for r in accepted.collect()] == [(1, "a")]
+    assert sorted(r["record"] for r in rejected.collect()) == ["2", "3;b;c"]
+
+
+def test_headers_must_name_the_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,id\none,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        quarantine.read_checked_csv(spark, str(tmp_path), "id int, name string").accepted.collect()
+
+
+# Clustered tables
+
+
+def rows_scanned(frame):
+    """Rows that left the scans of ``frame``, which must have no exchange."""
+    frame._jdf.queryExecution().executedPlan().executeCollect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_a_slice_of_a_clustered_table_reads_few_files(spark, tmp_path, settings):
+    settings(shuffle_partitions="16", adaptive_coalescePartitions_enabled="false")
+    frame = spark.range(40_000).select(
+        F.concat(F.lit("20"), F.lpad((F.col("id") % 40).cast("string"), 2, "0"), F.lit("-01")).alias("month"),
+        (F.col("id") % 50).alias("city"),
+        "id",
+    )
+    shuffled = frame.repartition(16, "id")
+    shuffled.write.parquet(str(tmp_path / "plain"))
+    tables.write_clustered(shuffled, str(tmp_path / "clustered"), ["month", "city"])
+    wanted = (F.col("month") == "2007-01") & (F.col("city") == 17)
+    slices = {n: tables.read_parquet(spark, str(tmp_path / n)).filter(wanted) for n in ("plain", "clustered")}
+    ids = {n: sorted(r["id"] for r in s.collect()) for n, s in slices.items()}
+    assert ids["plain"] == ids["clustered"] != []
+    assert rows_scanned(slices["plain"]) > 20_000
+    files = [p for p in (tmp_path / "clustered").glob("part-*")]
+    most = max(spark.read.parquet(str(p)).count() for p in files)
+    assert len(files) > 8 and rows_scanned(slices["clustered"]) <= 2 * most  # it may lie on a boundary
+    assert "PushedFilters: [IsNotNull(month), IsNotNull(city), EqualTo(month,2007-01)" in str(
+        slices["clustered"]._jdf.queryExecution().executedPlan()
+    )
+
+
+# Scoped persistence
+
+
+def kept_blocks(spark):
+    return spark.sparkContext._jsc.getPersistentRDDs().size()
+
+
+def test_nothing_stays_after_the_block(spark):
+    before, frame = kept_blocks(spark), spark.range(1000).selectExpr("id * 2 as x")
+    with persisted(frame) as (kept,):
+        assert kept.agg(F.sum("x")).first()[0] == 999_000
+        assert kept_blocks(spark) == before + 1 and frame.storageLevel.useMemory
+    assert kept_blocks(spark) == before and frame.storageLevel == StorageLevel.NONE
+
+
+def test_nothing_stays_after_an_error(spark):
+    before, frames = kept_blocks(spark), [spark.range(10 + i) for i in range(3)]
+    with pytest.raises(RuntimeError), persisted(*frames, level=StorageLevel.DISK_ONLY):
+        assert [f.count() for f in frames] == [10, 11, 12]
+        raise RuntimeError
+    assert kept_blocks(spark) == before
+    assert all(f.storageLevel == StorageLevel.NONE for f in frames)
+
+
+def test_what_was_kept_before_stays(spark):
+    frame = spark.range(77).persist(StorageLevel.MEMORY_ONLY)
+    try:
+        with persisted(frame):
+            frame.count()
+        assert frame.storageLevel.useMemory
+    finally:
+        frame.unpersist(blocking=True)
