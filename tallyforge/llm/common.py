@@ -32,10 +32,13 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the work folder and read it back: computed once, safe from lost executors."""
+    """Write ``df`` to the work folder and read it back: computed once, safe from lost executors.
+
+    A task writes one file, whatever the session says of rows in a file: ``numbered`` counts on it.
+    """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,6 +47,16 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def as_text(df: DataFrame, *ids: str) -> DataFrame:
+    """``df`` with ``ids`` as text, for the way through pandas, where a null would turn them into floats."""
+    return df.withColumns({c: F.col(c).cast("string") for c in ids})
+
+
+def as_long(df: DataFrame, *ids: str) -> DataFrame:
+    """The way back of ``as_text``."""
+    return df.withColumns({c: F.col(c).cast("long") for c in ids})
+
+
 def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     """Null-safe equality on all ``names``."""
     condition = F.lit(True)

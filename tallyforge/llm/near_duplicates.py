@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import same, small, stage
+from .common import as_long, as_text, same, small, stage
 from .components import components
 from .shingles import WordHashes, mixed, shingle_set
 
@@ -68,7 +68,7 @@ BANDS = layout(PERCENT)[0]
 _DRAW = np.random.default_rng(6).integers(0, 2**64, (3, SYMBOLS), np.uint64)
 _FLIP, _TIMES, _WEIGHT = _DRAW[0], _DRAW[1] | np.uint64(1), _DRAW[2] | np.uint64(1)
 
-SKETCH_TYPE = "doc_id long, text_key long, n_shingles long, node long, symbols binary"
+SKETCH_TYPE = "doc_id string, text_key long, n_shingles long, node long, symbols binary"
 SET_TYPE = "node long, symbols binary, shingles array<long>"
 
 
@@ -261,9 +261,11 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     are linked with nothing.  A null doc_id never names a component; a component of nulls only has
     a null id.  ``kept`` tells whether the row carries its component's id, null included; rows
     repeated with id and text are alike and all have the same result.  An empty table gives no rows.
+    Texts of any length are taken whole; columns other than ``doc_id`` and ``text`` are not looked at.
     """
     keyed = with_text_key(documents)
-    sketches = stage(keyed.mapInPandas(_sketches, SKETCH_TYPE), "sketches")
+    read = as_text(keyed, "doc_id").mapInPandas(_sketches, SKETCH_TYPE)
+    sketches = stage(as_long(read, "doc_id"), "sketches")
     nodes = stage(
         sketches.filter("n_shingles > 0").groupBy("node").agg(
             F.min("n_shingles").alias("n_shingles"),

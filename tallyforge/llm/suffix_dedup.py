@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import same, small, stage
+from .common import as_long, as_text, same, small, stage
 from .shingles import mixed
 from .suffix_arrays import common_prefixes, suffix_array
 
@@ -44,7 +44,7 @@ _DRAW = np.random.default_rng(2).integers(0, 2**64, 256 + _LEVELS, np.uint64) |
 _BYTES, _TIMES = _DRAW[:256], _DRAW[256:]
 
 TEXT_TYPE = (
-    "doc_id long, n_bytes long, sha string, text_id binary, "
+    "doc_id string, n_bytes long, sha string, text_id binary, "
     "anchors array<struct<anchor:long,snippet:long,first:int,last:int>>"
 )
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -206,10 +206,11 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (arrays of [start, end) in bytes) and kept_sha256 of each row.
 
     A null text counts as empty.  Repeated rows are copies of each other: with ``LENGTH`` bytes or
-    more both go.  Ids may be null or repeated; an empty table gives no rows; other columns are
-    not looked at.
+    more both go.  Ids may be null or repeated; texts of any length are taken whole; an empty table
+    gives no rows; other columns are not looked at.
     """
-    texts = stage(documents.select("doc_id", "text").mapInPandas(_texts, TEXT_TYPE), "texts")
+    read = as_text(documents.select("doc_id", "text"), "doc_id").mapInPandas(_texts, TEXT_TYPE)
+    texts = stage(as_long(read, "doc_id"), "texts")
     occurring = texts.select("text_id", F.explode("anchors").alias("a")).select("text_id", "a.*")
     again = occurring.groupBy("anchor").count().filter("count > 1").select("anchor")
     met = stage(occurring.join(again, "anchor", "left_semi"), "met")

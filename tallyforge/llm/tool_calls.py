@@ -11,6 +11,8 @@ result as canonical JSON: keys sorted, no spaces, characters as they are.
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -18,10 +20,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, same, stage
+from .common import as_long, as_text, numbered, same, stage
 
 EVENT_TYPE = (
-    "conv_id long, turn long, pos int, kind string, call_id string, name string, body string, "
+    "conv_id string, turn string, pos int, kind string, call_id string, name string, body string, "
     "after array<string>, problem string"
 )
 LINK_COLUMNS = (
@@ -37,8 +39,25 @@ _KINDS = {
 }
 
 
+def encodable(text: str) -> str:
+    """``text`` with halves of a surrogate pair, which UTF-8 does not have, as their JSON escapes."""
+    return re.sub("[\ud800-\udfff]", lambda half: f"\\u{ord(half[0]):04x}", text)
+
+
 def canonical(value: Any) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return encodable(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False))
+
+
+def _finite(number: str) -> float:
+    """A number with a fraction or exponent; JSON has no names for those beyond all bounds."""
+    value = float(number)
+    if not math.isfinite(value):
+        raise ValueError(f"{number} is out of range")
+    return value
+
+
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is not JSON")
 
 
 def _is(value: Any, kind: str) -> bool:
@@ -90,18 +109,24 @@ def violation(value: Any, schema: dict[str, Any], path: str = "") -> str | None:
 
 
 def _object(text: Any) -> dict[str, Any] | None:
-    """The JSON object in a text; None for all else, also for nesting too deep to parse."""
+    """The JSON object in a text; None for all else, also for nesting too deep to parse, and for numbers
+    that are none: NaN, Infinity and those that no double holds."""
     if not isinstance(text, str) or not text.lstrip().startswith("{"):
         return None
     try:
-        value = json.loads(text)
+        value = json.loads(text, parse_constant=_no_constant, parse_float=_finite)
     except (ValueError, RecursionError):
         return None
     return value if isinstance(value, dict) else None
 
 
+def _spelled(value: Any) -> str | None:
+    return value if value is None or isinstance(value, str) else canonical(value)
+
+
 def _text(value: Any) -> str | None:
-    return None if value is None else value if isinstance(value, str) else canonical(value)
+    """What a column can hold of an identifier or name."""
+    return None if value is None else encodable(_spelled(value))
 
 
 def message_events(role: Any, text: Any, schemas: dict[str, Any]) -> list[tuple]:
@@ -130,8 +155,8 @@ def message_events(role: Any, text: Any, schemas: dict[str, Any]) -> list[tuple]
         elif name not in schemas:
             problem = "unknown tool"
         else:
-            problem = violation(arguments, schemas[name])
-        body = canonical({"arguments": arguments, "id": identifier, "name": name})
+            problem = _text(violation(arguments, schemas[name]))
+        body = canonical({"arguments": arguments, "id": _spelled(call.get("id")), "name": _spelled(call.get("name"))})
         out.append((pos, "call", identifier, name, body, after, problem))
     return out
 
@@ -150,9 +175,10 @@ def events(messages: DataFrame, schemas: dict[str, Any]) -> DataFrame:
                 rows,
                 columns=["conv_id", "turn", "pos", "kind", "call_id", "name", "body", "after", "problem"],
             )
-            yield frame.astype({"conv_id": "Int64", "turn": "Int64", "pos": "int32"})
+            yield frame.astype({"pos": "int32"})
 
-    return messages.select("conv_id", "turn", "role", "text").mapInPandas(parse, EVENT_TYPE)
+    read = as_text(messages.select("conv_id", "turn", "role", "text"), "conv_id", "turn")
+    return as_long(read.mapInPandas(parse, EVENT_TYPE), "conv_id", "turn")
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -195,7 +221,9 @@ def linked_calls(messages: DataFrame, schemas: dict[str, Any]) -> DataFrame:
     linked, early (the result's turn is not after the call's), no_result, no_call, or no_id.
     ``valid``: the arguments hold the schema; null without a call.  ``level`` is null in cycles, ``json`` is
     null without a call.  A null conversation counts as one of its own; repeated messages are
-    calls of their own; messages that are no JSON objects of the two forms make no rows.
+    calls of their own; messages that are no JSON objects of the two forms make no rows.  Texts of any
+    length are parsed whole; half a surrogate pair, which JSON can spell and UTF-8 cannot, stays as its
+    escape; columns other than the four of a message are not looked at.
     """
     found = stage(events(messages, schemas), "events")
     keys = ["conv_id", "call_id"]

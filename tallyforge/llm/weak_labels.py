@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import as_long, as_text, same, stage
 from .quality_rules import SPACES, SYMBOLS, repeated_words
 
 #: Heuristic: value at or below which it votes bad, value from which it votes good (or the other
@@ -184,12 +184,17 @@ def classify(documents: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, text_key, pattern, posterior, score and kept (score of ``KEPT_FROM`` or more) of every row.
 
     A null or empty text has no features and gets the scorer's bias alone, and is not kept.  Rows
-    repeated with id and text get equal scores.  An empty table gives no rows.
+    repeated with id and text get equal scores.  An empty table gives no rows.  Texts of any length are
+    taken whole; columns other than ``doc_id`` and ``text`` are not looked at.
     """
     spark = documents.sparkSession
     keyed = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     voted = stage(
-        keyed.mapInPandas(_vote_rows, "doc_id long, text_key long, pattern string"), "votes"
+        as_long(
+            as_text(keyed, "doc_id").mapInPandas(_vote_rows, "doc_id string, text_key long, pattern string"),
+            "doc_id",
+        ),
+        "votes",
     )
     counted = voted.groupBy("pattern").count().collect()  # at most 3 ** len(HEURISTICS) rows
     good, _ = posteriors({r["pattern"]: r["count"] for r in counted})
@@ -221,28 +226,31 @@ def classify(documents: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
         weights = np.frombuffer(blob, np.float32).astype(float)
         slots = Slots()
         for batch in batches:
-            scores, filled, patterns = [], [], []
+            scores, filled = [], []
             for text in batch["text"]:
                 at, value = features(text, slots)
                 z = float(weights[at] @ value) + float(weights[-1])
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
                 filled.append(len(at) > 0)
-                patterns.append("".join("-0+"[v + 1] for v in votes(text)))
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
                     "text_key": batch["text_key"],
-                    "pattern": patterns,
                     "score": scores,
                     "kept": [f and s >= KEPT_FROM for f, s in zip(filled, scores)],
                 }
             )
 
-    scored = keyed.mapInPandas(
-        score, "doc_id long, text_key long, pattern string, score double, kept boolean"
+    scored = as_long(
+        as_text(keyed, "doc_id").mapInPandas(
+            score, "doc_id string, text_key long, score double, kept boolean"
+        ),
+        "doc_id",
     )
-    return scored.join(table, "pattern", "left").select(
-        "doc_id", "text_key", "pattern", "posterior", "score", "kept"
+    # Equal texts have equal votes, which were taken once.
+    known = voted.distinct().join(table, "pattern", "left")
+    return scored.join(known, same(scored, known, key)).select(
+        scored["doc_id"], scored["text_key"], "pattern", "posterior", "score", "kept"
     )
 
 

@@ -32,7 +32,7 @@ def test_stages_by_plain_means(spark):
 
     apart = stage(steps["near duplicates"](spark, ruled, FOLDER), "t")
     pairs = [(r["doc_id"], r["text"]) for r in ruled.collect()]
-    want = [r[0] for r in brute.near_duplicates(pairs) if r[3]]
+    want = [r[0] for r in brute.near_duplicates(pairs, corpus_pipeline.NEAR) if r[3]]
     assert sorted(r["doc_id"] for r in apart.collect()) == sorted(want)
 
     clean = stage(steps["decontamination"](spark, apart, FOLDER), "t")
