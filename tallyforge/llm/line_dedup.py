@@ -17,11 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import numbered, same, small, stage, word_count
+from .common import numbered, same, stage, word_count
 
 #: A run counts if it has two lines or more, or one line of so many words.
 LEAST_WORDS = 10
 
+#: Numbers of removed lines are broadcast up to this size, and joined beyond it.
+BROADCAST_BYTES = 64_000_000
+
 
 def lines_with_words(text: Column) -> Column:
     r"""The \n-separated lines that hold a word, as they are; none for null."""
@@ -119,38 +122,51 @@ def removed_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> tuple
     return lines, stage(runs.select("doc", each).distinct(), "removed")
 
 
-def without_repeated_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """The documents with later copies of repeated runs cut from ``text``; other columns as given.
+def _cut(text: Column, gone: Column) -> Column:
+    """``text`` without those of its lines with words whose numbers are in ``gone``; in linear time."""
 
-    Lines without words stay.  A null text stays null; a text all of whose lines go becomes the
-    lines without words that are left, or empty.  Rows repeated with id and text are one document
-    and stay alike.  An empty table gives no rows.
-    """
-    _, removed = removed_lines(documents, least_words)
+    def of_lines(lines: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(lines) - 1)
+        holding = F.filter(every, lambda i: F.get(lines, i).rlike(r"[^\x20\x09-\x0D]"))
+
+        def of_places(places: Column) -> Column:
+            dropped = F.transform(gone, lambda g: F.get(places, g))
+            kept = F.array_except(every, dropped)
+            return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+        return F.get(F.transform(F.array(holding), of_places), F.lit(0))
+
+    # A bound variable each, so that lines and places are found once.
+    return F.get(F.transform(F.array(F.split(text, "\n", -1)), of_lines), F.lit(0))
+
+
+def without_lines(documents: DataFrame, removed: DataFrame) -> DataFrame:
+    """``documents`` with the lines of a stored ``removed`` (see ``removed_lines``) cut from ``text``."""
     gone = removed.groupBy("doc").agg(F.collect_set("line").alias("_llm_gone"))
     gone = stage(gone.select("doc.doc_id", F.col("doc.text_key").alias("_llm_key"), "_llm_gone"), "gone")
+    weight = gone.agg(F.sum(64 + 4 * F.size("_llm_gone"))).first()[0] or 0
     keyed = documents.withColumn("_llm_key", F.xxhash64("text"))
-    joined = keyed.join(small(gone, 100_000), same(keyed, gone, ["doc_id", "_llm_key"]), "left")
-    listed = F.split(F.col("text"), "\n", -1)
-    full = F.transform(listed, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-
-    def cut(state: Column, line: Column) -> Column:
-        has = line.rlike(r"[^\x20\x09-\x0D]")
-        drop = has & F.array_contains(F.col("_llm_gone"), state["n"])
-        return F.struct(
-            (state["n"] + has.cast("int")).alias("n"),
-            F.when(drop, state["kept"]).otherwise(F.concat(state["kept"], F.array(line))).alias("kept"),
-        )
-
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("kept"))
-    text = F.array_join(F.aggregate(listed, start, cut)["kept"], "\n")
+    listed = F.broadcast(gone) if weight <= BROADCAST_BYTES else gone
+    joined = keyed.join(listed, same(keyed, gone, ["doc_id", "_llm_key"]), "left")
     others = [keyed[c] for c in documents.columns if c != "text"]
-    new = F.when(F.col("_llm_gone").isNull(), keyed["text"]).otherwise(text).alias("text")
+    whole = F.col("_llm_gone").isNull()
+    new = F.when(whole, keyed["text"]).otherwise(_cut(keyed["text"], F.col("_llm_gone"))).alias("text")
     return joined.select(*others, new).select(documents.columns)
 
 
+def without_repeated_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The documents with later copies of repeated runs cut from ``text``; other columns as given.
+
+    Lines without words stay.  A null text stays null; a text all of whose lines go becomes the
+    lines without words that are left, or empty.  Rows repeated with id and text are one document
+    and stay alike.  Texts of any length are cut as a whole.  An empty table gives no rows.
+    """
+    return without_lines(documents, removed_lines(documents, least_words)[1])
+
+
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """For every document: lines with words, those removed, the stretches they form, words kept."""
+    """For every document: lines with words, those removed, the stretches they form, words kept, and the
+    SHA-256 and bytes of the text that is left (of a null text: of nothing)."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     lines, removed = removed_lines(documents)
     before = Window.partitionBy("doc").orderBy("line")
@@ -168,12 +184,21 @@ def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     )
     found = counts.join(stretches, "doc", "left").select("doc.*", "n_lines", "n_removed", "n_runs", "kept_words")
     found = stage(found, "counts")
-    keys = ["doc_id", "text_key"]
-    rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"))
+    kept = F.coalesce(F.col("text"), F.lit(""))
+    # The cut text beside the key of the whole one, which the counts have.
+    marked = documents.withColumn("text_key", F.xxhash64("text"))
+    rows = without_lines(marked, removed).select(
+        "doc_id",
+        "text_key",
+        F.octet_length(kept).cast("long").alias("kept_bytes"),
+        F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
+    )
     none = F.lit(0).cast("long")
-    return rows.join(found, same(rows, found, keys), "left").select(
+    return rows.join(found, same(rows, found, ["doc_id", "text_key"]), "left").select(
         rows["doc_id"],
         *(F.coalesce(found[c], none).alias(c) for c in ("n_lines", "n_removed", "n_runs", "kept_words")),
+        "kept_bytes",
+        "kept_sha256",
     )
 
 
@@ -181,7 +206,7 @@ SQL = r"""
 WITH docs AS (SELECT DISTINCT doc_id, text FROM documents),
 numbered AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS d, doc_id, text FROM docs),
 listed AS (
-  SELECT d, doc_id, text, list_filter(string_split(coalesce(text, ''), chr(10)),
+  SELECT d, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS every, list_filter(every,
     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM numbered
 ),
@@ -207,10 +232,20 @@ counted AS (
   SELECT d, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_runs,
     coalesce(sum(words) FILTER (NOT gone), 0)::BIGINT AS kept_words
   FROM stretched GROUP BY d
+),
+spread AS (
+  SELECT d, j, every[j] AS line, regexp_matches(every[j], '[^\x20\x09-\x0D]') AS has
+  FROM listed, unnest(range(1, len(every) + 1)) AS t(j)
+),
+placed AS (SELECT *, sum(has::INT) OVER (PARTITION BY d ORDER BY j) AS i FROM spread),
+left_over AS (
+  SELECT p.d, string_agg(line, chr(10) ORDER BY j) FILTER (NOT (has AND coalesce(gone, false))) AS body
+  FROM placed p LEFT JOIN marked m ON p.d = m.d AND p.i = m.i GROUP BY p.d
 )
 SELECT o.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
-  coalesce(n_runs, 0) AS n_runs, coalesce(kept_words, 0) AS kept_words
+  coalesce(n_runs, 0) AS n_runs, coalesce(kept_words, 0) AS kept_words,
+  octet_length(encode(coalesce(body, '')))::BIGINT AS kept_bytes, sha256(coalesce(body, '')) AS kept_sha256
 FROM documents o
 JOIN numbered n ON o.doc_id IS NOT DISTINCT FROM n.doc_id AND o.text IS NOT DISTINCT FROM n.text
-LEFT JOIN counted c USING (d)
+LEFT JOIN counted c USING (d) LEFT JOIN left_over USING (d)
 """
