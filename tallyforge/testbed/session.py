@@ -11,7 +11,9 @@ SETTINGS = {
 }
 
 
-def local_session(name: str, cores: int, memory: str, shared: str) -> SparkSession:
+def local_session(
+    name: str, cores: int, memory: str, shared: str, more: dict[str, str] | None = None
+) -> SparkSession:
     """As many threads and shuffle partitions as ``cores``; ``shared`` takes what queries store."""
     sizes = {
         "spark.driver.memory": memory,
@@ -19,6 +21,6 @@ def local_session(name: str, cores: int, memory: str, shared: str) -> SparkSessi
         "spark.checkpoint.dir": shared,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    session = builder.config(map=SETTINGS | sizes).getOrCreate()
+    session = builder.config(map=SETTINGS | sizes | (more or {})).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
