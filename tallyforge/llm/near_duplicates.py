@@ -224,6 +224,19 @@ def groups(nodes: DataFrame, documents: DataFrame, percent: int = PERCENT) -> Da
         ),
         "clusters",
     )
+    chosen = nodes.join(placed.select("node"), "node", "left_semi")
+    wanted = stage(chosen.select("node", "symbols", "doc_id", "text_key"), "wanted")
+    keyed = with_text_key(documents)
+    texts = keyed.join(small(wanted, 100_000), same(keyed, wanted, ["doc_id", "text_key"])).select(
+        "node", "symbols", "text"
+    )
+    sets = stage(texts.mapInPandas(_sets, SET_TYPE), "sets")
+    if sets.count() > wanted.count():
+        sets = stage(sets.dropDuplicates(["node"]), "sets")  # rows repeated with id and text
+
+    direct = _star_links(star, placed.filter("blocks > 1"), sets, percent)
+    if direct is not None:
+        placed = placed.join(_settled(placed, direct), "cluster", "left_anti")
     packs = -(-placed.count() // BLOCK)
     meets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     alone = F.col("blocks") == 1
@@ -239,19 +252,34 @@ def groups(nodes: DataFrame, documents: DataFrame, percent: int = PERCENT) -> Da
         "routed",
     )
 
-    chosen = nodes.join(placed.select("node"), "node", "left_semi")
-    wanted = stage(chosen.select("node", "symbols", "doc_id", "text_key"), "wanted")
-    keyed = with_text_key(documents)
-    texts = keyed.join(small(wanted), same(keyed, wanted, ["doc_id", "text_key"])).select(
-        "node", "symbols", "text"
-    )
-    sets = stage(texts.mapInPandas(_sets, SET_TYPE), "sets")
-    if sets.count() > wanted.count():
-        sets = stage(sets.dropDuplicates(["node"]), "sets")  # rows repeated with id and text
-
     meeting = sets.join(small(routed), "node").groupBy("pack", "low", "high")
     links = stage(meeting.applyInPandas(_connector(percent), "a long, b long"), "links")
-    return components(links)
+    return components(links if direct is None else links.union(direct))
+
+
+def _star_links(star: DataFrame, large: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """The verified links of nodes in ``large`` clusters with the nodes that their entries hang on.
+
+    That is a few pairs a node, however many nodes a cluster has.
+    """
+    if large.isEmpty():
+        return None
+    pairs = star.filter("a <> b").join(large.select(F.col("node").alias("a")), "a", "left_semi").distinct()
+    sized = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
+    both = pairs.join(sized("a"), "a").join(sized("b"), "b")
+    shared = F.size(F.array_intersect("a_set", "b_set"))
+    joint = F.size("a_set") + F.size("b_set") - shared
+    return stage(both.filter(100 * shared >= percent * joint).select("a", "b"), "direct")
+
+
+def _settled(placed: DataFrame, direct: DataFrame) -> DataFrame:
+    """The clusters all of whose nodes the ``direct`` links already connect: no more pairs are needed there."""
+    reached = components(direct).select("node", "label")
+    joined = placed.join(reached, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    ends = joined.filter("blocks > 1").groupBy("cluster").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    return stage(ends.filter("low = high").select("cluster"), "settled")
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -279,7 +307,10 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     placed = stage(
         slim.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed"
     )
-    heads = placed.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("head"))
+    # Stored, so that the join has two plain sides, of which Spark can split a large group's.
+    heads = stage(
+        placed.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("head")), "heads"
+    )
     joined = placed.join(heads, "label", "left").withColumn(
         "component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("head"))
     )
