@@ -476,6 +476,7 @@ def oracle_sql() -> dict[str, str]:
         "q5_opening_hours": q(INTERVAL, INTERVAL_OUT),
         "q5_installments": q(PLANS, PLANS_OUT),
         "quality_metrics": q(CONFLICTS, METRICS, "SELECT * FROM metrics"),
+        "batch_job_metrics": q(CONFLICTS, METRICS, "SELECT * FROM metrics"),
         "quality_summary": q(SUMMARY, "SELECT * FROM summary"),
         "warning_samples": q(SAMPLES, "SELECT * FROM samples"),
         "reconciliation": q(

@@ -24,8 +24,8 @@ from tallyforge.operators.ranking import (
     top_k_per_group,
 )
 from tallyforge.operators.reconcile import reconcile
-from tallyforge.plans import gold, quality, silver, summaries, views
-from tallyforge.sources import provenance, quarantine, tables
+from tallyforge.plans import gold, job, quality, silver, summaries, views
+from tallyforge.sources import provenance, quarantine, tables, versions
 from tallyforge.testbed import binding
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,6 +252,17 @@ def _stored_active(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(summaries.active_counts(*stored, "year_month"))
 
 
+def _batch_job_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality metrics that the whole batch job leaves beside its tables, from raw files to Gold."""
+    layers = [f"{binding.work_folder(spark)}/{name}" for name in ("raw", "bronze", "silver", "gold")]
+    attempts, merchants = binding.raw_attempts(spark, folder), binding.raw_merchants(spark, folder)
+    tables.write_parquet(attempts, f"{layers[0]}/historical_transactions.parquet")
+    merchants.write.option("header", True).csv(f"{layers[0]}/merchants.csv")
+    job.run_all(spark, *layers)
+    path = versions.table_path(spark, layers[2], "dq.json")
+    return comparable(tables.read_json(spark, path, job.METRICS_SCHEMA))
+
+
 def _manifest(spark: SparkSession, folder: str) -> DataFrame:
     names = ("lineitem", "orders", "customer", "nation", "supplier")
     return provenance.manifest(spark, {n: f"{folder}/{n}.parquet" for n in names})
@@ -455,6 +466,7 @@ def queries() -> dict[str, Query]:
             lambda m: views.conflict_listing(silver.merchant_conflicts(m))
         ),
         "load_metadata": _load_metadata,
+        "batch_job_metrics": _batch_job_metrics,
         "source_manifest": _manifest,
         "events_top_users_by_type": _events_top_users,
         "events_user_rank": _events_user_rank,
