@@ -122,6 +122,39 @@ def test_merge_finds_strings_of_several_shards():
     assert suffix_dedup.merge_range(rows)["snippet"].tolist() == [5, 6]
 
 
+def test_a_shard_sends_one_row_a_range():
+    """However many strings a shard of a frequent anchor holds, it lists them in one row a range."""
+    bodies = [prose(i, 300).encode() for i in range(20)] + [prose(3, 300).encode()[100:]]
+    rows = pd.DataFrame(
+        {
+            "shard": 7,
+            "parts": 2,
+            "anchor": 1,
+            "snippet": range(len(bodies)),
+            "body": bodies,
+        }
+    )
+    got = suffix_dedup._shard_repeats(rows, 3)
+    assert sorted(got["range"].fillna(-1)) == [-1, 0, 1, 2]
+    lists = got[got["range"].notna()]
+    strings = {b[i : i + 400] for b in bodies for i in range(len(b) - 399)}
+    assert sum(map(len, lists["highs"])) == len(strings)
+    runs = got[got["range"].isna()].iloc[0]
+    found = sorted(zip(runs["snippets"], runs["firsts"], runs["lasts"]))
+    assert found == [(3, 100, len(bodies[3]) - 400), (20, 0, len(bodies[20]) - 400)]
+
+
+@pytest.mark.parametrize("frequent", [1, 10])
+def test_frequent_anchors_are_dealt(spark, monkeypatch, frequent):
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", frequent)
+    places = spark.range(60).selectExpr("id % 7 % 3 AS anchor", "cast(id AS string) AS text_id", "cast(id AS int) AS first")
+    counts = places.groupBy("anchor").count().filter("anchor < 2")
+    got = suffix_dedup._meet(places, counts, "count", "left_semi")
+    assert sorted(got.collect()) == sorted(places.filter("anchor < 2").collect())
+    got = suffix_dedup._meet(places, counts, "count", "inner").select(*places.columns, "count")
+    assert sorted(got.collect()) == sorted(places.join(counts, "anchor").select(got.columns).collect())
+
+
 # Lines
 
 
