@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -348,6 +349,24 @@ def test_probabilities_add_up(spark):
         assert math.isclose((10**logs).sum(), 1, rel_tol=1e-9)
 
 
+def test_every_word_is_a_context_of_its_own(spark):
+    """Words with the same ending do not share a restaurant, and each one's probabilities make one."""
+    rows = [(i, f"ending{i % 2} " + ("left " if i % 2 else "right ") * 3) for i in range(40)]
+    rows = [(i, t.replace("ending0", "a-thing").replace("ending1", "b-thing")) for i, t in rows]
+    state, known = pitman_yor.train(spark.createDataFrame(rows, "doc_id long, text string"), 1)
+    scorer = pitman_yor.Scorer(known, state.first()["blob"])
+    number = {w: xxhash.xxh3_64_intdigest(w) for w in (b"a-thing", b"b-thing", b"left", b"right")}
+    place = {w: int(np.flatnonzero(scorer.words == np.uint64(h))[0]) for w, h in number.items()}
+    at = np.array([place[b"left"], place[b"right"]])
+    for context, likelier in ((b"a-thing", 1), (b"b-thing", 0)):
+        _, logs = scorer.tokens(at, np.full(2, number[context], np.uint64))
+        assert logs[likelier] > logs[1 - likelier] + 1
+    everything = np.append(np.arange(len(scorer.words)), -1)
+    for context in scorer.contexts:
+        _, logs = scorer.tokens(everything, np.full(len(everything), context))
+        assert math.isclose((10**logs).sum(), 1, rel_tol=1e-9)
+
+
 def test_held_out_text_of_the_same_kind_is_likelier(spark):
     rows = [(i, " ".join(prose(i % 9, 60).split()[i % 7 :])) for i in range(150)]
     got = pitman_yor.perplexity(pitman_yor.scores(spark.createDataFrame(rows, "doc_id long, text string")))
