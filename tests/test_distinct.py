@@ -20,7 +20,9 @@ def frame(spark):
         (chance.choice("abc"), chance.choice([1, 2, None]), chance.choice(NUMBERS + list(range(100_000, 100_400))))
         for _ in range(6_000)
     ]
-    return spark.createDataFrame(rows, "a string, b int, number long").repartition(5).persist()
+    kept = spark.createDataFrame(rows, "a string, b int, number long").repartition(5).persist()
+    yield kept
+    kept.unpersist(blocking=True)
 
 
 @pytest.mark.parametrize("names", [["a", "b"], ["a"], ["b"], []])
